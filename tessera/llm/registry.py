@@ -1,9 +1,10 @@
 """The queries of this subpackage and the SQL that some of them can be held against."""
 
-from tessera.llm import mixing, sharding
+from tessera.llm import mixing, sharding, simhash
 
 QUERIES = {
     "op2_sharding": sharding.op2_sharding,
+    "op3_simhash": simhash.op3_simhash,
     "op9_mixing": mixing.op9_mixing,
 }
 
