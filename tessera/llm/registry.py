@@ -1,12 +1,13 @@
 """The queries of this subpackage and the SQL that some of them can be held against."""
 
-from tessera.llm import mixing, sharding, simhash, substring
+from tessera.llm import mixing, quality, sharding, simhash, substring
 
 QUERIES = {
     "op2_sharding": sharding.op2_sharding,
     "op3_simhash": simhash.op3_simhash,
     "op4_substring": substring.op4_substring,
     "op9_mixing": mixing.op9_mixing,
+    "op10_quality": quality.op10_quality,
 }
 
 ORACLE = {
