@@ -1,11 +1,12 @@
 """The queries of this subpackage and the SQL that some of them can be held against."""
 
-from tessera.llm import mixing, quality, sharding, simhash, substring, token_files, warc
+from tessera.llm import media, mixing, quality, sharding, simhash, substring, token_files, warc
 
 QUERIES = {
     "op2_sharding": sharding.op2_sharding,
     "op3_simhash": simhash.op3_simhash,
     "op4_substring": substring.op4_substring,
+    "op5_media": media.op5_media,
     "op7_warc": warc.op7_warc,
     "op8_token_files": token_files.op8_token_files,
     "op9_mixing": mixing.op9_mixing,
