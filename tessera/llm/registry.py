@@ -1,8 +1,9 @@
 """The queries of this subpackage and the SQL that some of them can be held against."""
 
-from tessera.llm import media, mixing, quality, sharding, simhash, substring, token_files, warc
+from tessera.llm import html_extract, media, mixing, quality, sharding, simhash, substring, token_files, warc
 
 QUERIES = {
+    "op1_html": html_extract.op1_html,
     "op2_sharding": sharding.op2_sharding,
     "op3_simhash": simhash.op3_simhash,
     "op4_substring": substring.op4_substring,
