@@ -7,8 +7,12 @@ import shutil
 import tempfile
 import uuid
 
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 #: A word: a run of anything but space and the five ASCII controls from tab to carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -55,3 +59,22 @@ def sql_seeded_key(seed: int, column: str) -> str:
 def named(column: str) -> Column:
     """A string column as a key that never is null and keeps null apart from the empty string."""
     return F.when(F.col(column).isNull(), F.lit("n")).otherwise(F.concat(F.lit("s"), F.col(column)))
+
+
+def map_slices(df: DataFrame, fn, ddl: str, rows: int = 1500) -> DataFrame:
+    """mapInPandas over slices of the Arrow batches, so that only ``rows`` rows are Python objects at a time.
+
+    Long columns arrive as nullable integers: a null does not turn its neighbours into floats.
+    """
+    schema = to_arrow_schema(T.StructType.fromDDL(ddl))
+
+    def run(batches):
+        def parts():
+            for batch in batches:
+                for at in range(0, batch.num_rows, rows):
+                    yield batch.slice(at, rows).to_pandas(types_mapper={pa.int64(): pd.Int64Dtype()}.get)
+
+        for out in fn(parts()):
+            yield pa.RecordBatch.from_pandas(out, schema=schema, preserve_index=False)
+
+    return df.mapInArrow(run, ddl)

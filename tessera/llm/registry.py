@@ -1,6 +1,6 @@
 """The queries of this subpackage and the SQL that some of them can be held against."""
 
-from tessera.llm import html_extract, media, mixing, quality, sharding, simhash, substring, token_files, warc
+from tessera.llm import html_extract, media, mixing, quality, sentencepiece_sampling, sharding, simhash, substring, token_files, warc
 
 QUERIES = {
     "op1_html": html_extract.op1_html,
@@ -8,6 +8,7 @@ QUERIES = {
     "op3_simhash": simhash.op3_simhash,
     "op4_substring": substring.op4_substring,
     "op5_media": media.op5_media,
+    "op6_sentencepiece": sentencepiece_sampling.op6_sentencepiece,
     "op7_warc": warc.op7_warc,
     "op8_token_files": token_files.op8_token_files,
     "op9_mixing": mixing.op9_mixing,
