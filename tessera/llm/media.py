@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from tessera.llm.common import shared_path, stored
+from tessera.llm.common import map_slices, shared_path, stored
 from tessera.llm.files import attempt_name, filesystem, make_dir
 
 WIDTH = 192
@@ -128,7 +128,7 @@ def write_media(docs: DataFrame, out: str, archive_bytes: int = ARCHIVE_BYTES, i
             yield close()
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    archives = stored(rows.mapInPandas(write, "name string, bytes long, members long"), "media-archives")
+    archives = stored(map_slices(rows, write, "name string, bytes long, members long"), "media-archives")
     # One entry an archive of archive_bytes, not one a row.
     listed = sorted((r.asDict() for r in archives.collect()), key=lambda r: r["name"])
     where, folder = filesystem(out)
@@ -259,7 +259,7 @@ def media_features(media: DataFrame) -> DataFrame:
             made = pd.DataFrame(rows, columns=["doc_id", "n_bytes", "samples", "feature"]).astype({"doc_id": "Int64"})
             yield made.assign(payload=batch["payload"].to_numpy())
 
-    return media.select("member", "payload", "error").mapInPandas(decode, "doc_id long, n_bytes long, samples binary, feature string, payload binary")
+    return map_slices(media.select("member", "payload", "error"), decode, "doc_id long, n_bytes long, samples binary, feature string, payload binary", rows=500)
 
 
 def op5_media(spark, sf_dir: str) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm import boosting
-from tessera.llm.common import seeded_key, stored
+from tessera.llm.common import map_slices, seeded_key, stored
 
 SYMBOLS = "#*$%&|<>"
 _SPACES = " \t\n\x0b\x0c\r"
@@ -124,7 +124,7 @@ def train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED,
     chosen = stored(chosen, "labelled")
     # max_labelled rows of two numbers: their size is bounded.
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "_id")
-    found = stored(rows.select("text", "y", "_id").mapInPandas(_measure, "y double, x array<double>"), "measured")
+    found = stored(map_slices(rows.select("text", "y", "_id"), _measure, "y double, x array<double>"), "measured")
     frame = found.limit(2 * max_labelled).toPandas()
     x = np.array(frame["x"].tolist(), dtype=float).reshape(-1, len(FEATURES))
     y = (frame["y"].to_numpy(dtype=float) > 0.5).astype(float)
@@ -153,7 +153,7 @@ def score(docs: DataFrame, model: boosting.FlatTrees, threshold: float = THRESHO
     carried = docs.select(F.col(id_col).alias("doc_id"), *[F.col(c).alias(f"kept_{c}") for c in keep], F.col(text_col).alias("text"))
     head = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in carried.schema.fields[:-1])
     tail = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, probability double, kept boolean"
-    return carried.mapInPandas(judged, f"{head}, {tail}")
+    return map_slices(carried, judged, f"{head}, {tail}")
 
 
 def op10_quality(spark, sf_dir: str) -> DataFrame:

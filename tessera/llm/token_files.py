@@ -19,7 +19,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import shared_path, stored
+from tessera.llm.common import map_slices, shared_path, stored
 from tessera.llm.files import attempt_name, filesystem, make_dir
 
 TOKENIZER = "word_bpe_49k.json"
@@ -171,7 +171,7 @@ def write_tokens(docs: DataFrame, out: str, tokenizer_path: str | None = None, e
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     dealt = rows.repartitionByRange(n, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.xxhash64("text"))
-    files = stored(dealt.mapInPandas(write, "part int, file string, index_file string, n_docs long, n_tokens long"), "token-files")
+    files = stored(map_slices(dealt, write, "part int, file string, index_file string, n_docs long, n_tokens long"), "token-files")
     # One row a partition of the write: a window over all of them is small whatever the corpus.
     before = Window.partitionBy().orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     return files.where("n_docs > 0").withColumns({f"first_{k}": F.coalesce(F.sum(f"n_{k}s").over(before), F.lit(0)).cast("long") for k in ("doc", "token")})
@@ -198,7 +198,8 @@ def read_tokens(files: DataFrame) -> DataFrame:
                     yield _table(rows)
 
     n = int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return files.select("file", "first_doc", "first_token").repartition(n).mapInPandas(read, "doc_id long, position long, start long, ids array<long>")
+    rows = files.select("file", "first_doc", "first_token").repartition(n)
+    return map_slices(rows, read, "doc_id long, position long, start long, ids array<long>")
 
 
 def read_digests(files: DataFrame) -> DataFrame:
@@ -220,7 +221,8 @@ def read_digests(files: DataFrame) -> DataFrame:
                 yield pd.DataFrame(rows, columns=["doc_id", "start", "n_tokens", "ids_crc32"]).astype({"doc_id": "Int64"})
 
     n = int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return files.select("file", "first_token").repartition(n).mapInPandas(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    rows = files.select("file", "first_token").repartition(n)
+    return map_slices(rows, read, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def read_at(file: str, index_file: str, numbers: list[int]) -> list[tuple[int | None, np.ndarray]]:

@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import shared_path, stored
+from tessera.llm.common import map_slices, shared_path, stored
 from tessera.llm.files import attempt_name, coalesced, filesystem, make_dir
 
 MIN_REVISIT_BYTES = 1000
@@ -110,7 +110,7 @@ def write_warc(pages: DataFrame, out: str, min_revisit: int = MIN_REVISIT_BYTES,
             if stream is not None:
                 stream.close()
 
-    return stored(rows.select("page_id", "url", "html", "digest", "lead").mapInPandas(write, INDEX), "warc-index")
+    return stored(map_slices(rows.select("page_id", "url", "html", "digest", "lead"), write, INDEX, rows=500), "warc-index")
 
 
 def read_warc(index: DataFrame, with_payload: bool = True, gap: int = READ_GAP, most: int = READ_BYTES) -> DataFrame:
@@ -138,7 +138,7 @@ def read_warc(index: DataFrame, with_payload: bool = True, gap: int = READ_GAP,
     names = [c.split()[0] for c in schema.split(", ")]
     n = int(index.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     some = index.select("file", "offset", "length", "url").repartitionByRange(n, "file", "offset").sortWithinPartitions("file", "offset")
-    return some.mapInPandas(read, schema)
+    return map_slices(some, read, schema, rows=10_000)
 
 
 def op7_warc(spark, sf_dir: str) -> DataFrame:
