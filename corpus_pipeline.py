@@ -1,10 +1,83 @@
-"""The pipeline: STAGES in order, each over all that the one before it kept."""
+"""From documents to training ids: STAGES in order, each over all that the one before it kept."""
 
 from __future__ import annotations
 
-STAGES: list = []
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tessera.llm import mixing, quality, sentencepiece_sampling, simhash, substring
+from tessera.llm.common import stored
+
+
+def _named(found: DataFrame, docs: DataFrame, **own) -> DataFrame:
+    """found's columns under the names of docs: its own for those given, else those carried as kept_<name>."""
+    return found.select(*[own.get(c, F.col(f"kept_{c}") if f"kept_{c}" in found.columns else F.col(c)).alias(c) for c in docs.columns])
+
+
+def _others(docs: DataFrame) -> tuple[str, ...]:
+    return tuple(c for c in docs.columns if c not in ("doc_id", "text"))
+
+
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules keep, unchanged."""
+    model = quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    judged = quality.score(docs, model, keep=_others(docs), with_text=True)
+    return _named(judged.where("kept"), docs)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of linked fingerprints: that of the least id.
+
+    A row without an id stays if its group has no id at all, one for each fingerprint; of rows that repeat an id one stays.
+    """
+    found = stored(simhash.near_duplicates(docs), "near")
+    heads = found.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("n"))
+    kept = docs.join(heads.select("doc_id").hint("shuffle_hash"), "doc_id", "left_semi").select(docs.columns)
+    if not heads.where("n > 1").isEmpty():
+        kept = kept.dropDuplicates(["doc_id"])
+    nameless = found.where("doc_id is null and component_id is null").select("fp").distinct()
+    if nameless.isEmpty():
+        return kept
+    marked = docs.where("doc_id is null").withColumn("_fp", simhash.fingerprint_udf(F.col("text")))
+    others = marked.join(nameless, marked["_fp"] == nameless["fp"], "left_semi").dropDuplicates(["_fp"])
+    return kept.unionByName(others.select(docs.columns))
+
+
+def remove_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the passages that an earlier one has; those that lose every word go."""
+    found = substring.remove_repeats(docs, keep=_others(docs), layout=True).where("n_removed = 0 or n_removed < n_words")
+    length = F.length("kept").cast(docs.schema["n_chars"].dataType) if "n_chars" in docs.columns else None
+    return _named(found, docs, text=F.col("kept"), **({"n_chars": length} if length is not None else {}))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them; those that it does not take go."""
+    keyed = docs.withColumn("_row", F.coalesce("doc_id", F.xxhash64("text")))
+    mix = mixing.fair_mix(keyed, id_col="_row").where("epochs > 0").groupBy(F.col("doc_id").alias("_row")).agg(F.max("epochs").alias("_epochs"))
+    turns = keyed.join(mix.hint("shuffle_hash"), "_row").withColumn("_turn", F.explode(F.sequence(F.lit(1), F.col("_epochs"))))
+    return turns.select(docs.columns)
+
+
+def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sampled segmentations of every document's whole text: (doc_id, source, sample, ids, log_prob, inclusion)."""
+    found = sentencepiece_sampling.sample_encode(docs, keep=("source",))
+    return found.select("doc_id", F.col("kept_source").alias("source"), "sample", "ids", "log_prob", "inclusion")
+
+
+STAGES = [
+    ("quality_rules", keep_quality),
+    ("simhash_near_dedup", drop_near_duplicates),
+    ("substring_dedup", remove_passages),
+    ("mix_to_target_weights", mix_sources),
+    ("sentencepiece_encode", encode_pieces),
+]
+
+#: Trees, fingerprints and sampled paths have no SQL; tests hold each stage against a brute-force version.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir: str):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES:
+        docs = stored(stage(spark, docs, sf_dir), name)
+    return docs

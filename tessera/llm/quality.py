@@ -133,12 +133,12 @@ def train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED,
     return boosting.fit(x[order], y[order], list(FEATURES.values()))
 
 
-def score(docs: DataFrame, model: boosting.FlatTrees, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+def score(docs: DataFrame, model: boosting.FlatTrees, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (), with_text: bool = False) -> DataFrame:
     """(doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, probability, kept) of every row.
 
     A null text is an empty one and fails the base rules, as does every text of fewer than MIN_WORDS words. Null
     ids and repeated rows are scored like all others. An empty table gives no rows. ``keep`` names columns carried
-    along; all others are not read.
+    along as kept_<name>, ``with_text`` carries the text; all others are not read.
     """
 
     def judged(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -148,10 +148,10 @@ def score(docs: DataFrame, model: boosting.FlatTrees, threshold: float = THRESHO
             p = model.probability(x)
             out = pd.DataFrame(base, columns=["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"])
             out = out.assign(base_failed=failed, probability=p, kept=~failed & (p >= threshold))
-            yield pd.concat([batch.drop(columns="text").reset_index(drop=True), out], axis=1)
+            yield pd.concat([(batch if with_text else batch.drop(columns="text")).reset_index(drop=True), out], axis=1)
 
     carried = docs.select(F.col(id_col).alias("doc_id"), *[F.col(c).alias(f"kept_{c}") for c in keep], F.col(text_col).alias("text"))
-    head = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in carried.schema.fields[:-1])
+    head = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in carried.schema.fields[: None if with_text else -1])
     tail = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, probability double, kept boolean"
     return map_slices(carried, judged, f"{head}, {tail}")
 
