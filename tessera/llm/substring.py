@@ -17,13 +17,14 @@ different paths in a batch is dealt by path instead and marked as branching, so
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import stored
+from tessera.llm.common import map_slices, stored
 from tessera.llm.spans import pieces
 
 K = 20
@@ -116,11 +117,11 @@ def _settle_paths(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         done = batch["kind"].to_numpy() == REPEAT
         if done.any():
-            yield out(batch["doc"].to_numpy()[done], batch["place"].to_numpy()[done], False)
+            yield out(batch["doc"].to_numpy(np.int64)[done], batch["place"].to_numpy(np.int64)[done], False)
             batch = batch[~done]
         if not len(batch):
             continue
-        deal, path, doc, place, kind = (batch[c].to_numpy() for c in ("deal", "path", "doc", "place", "kind"))
+        deal, path, doc, place, kind = (batch[c].to_numpy(np.int64) for c in ("deal", "path", "doc", "place", "kind"))
         at = np.arange(len(deal))
         new = np.concatenate([[deal0 is None or deal[0] != deal0], deal[1:] != deal[:-1]])
         first = new | np.concatenate([[path0 is None or path[0] != path0], path[1:] != path[:-1]])
@@ -188,7 +189,7 @@ def _emit_windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"one": np.where(again, doc, one)[keep], "two": np.where(again, place, two)[keep], "doc": doc[keep], "place": place[keep], "again": again[keep]})
 
 
-def _cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _cut(batches: Iterator[pd.DataFrame], layout: bool) -> Iterator[pd.DataFrame]:
     for batch in batches:
         rows = []
         for text, places in zip(batch["text"], batch["places"], strict=True):
@@ -206,44 +207,47 @@ def _cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 words_left = [w for w, g in zip(words, gone.tolist(), strict=False) if not g]
             else:
                 words_left = words
-            rows.append((len(words), len(words) - len(words_left), b" ".join(words_left).decode("utf-8", "surrogatepass"), spans))
+            left = text or "" if layout and len(words_left) == len(words) else b" ".join(words_left).decode("utf-8", "surrogatepass")
+            rows.append((len(words), len(words) - len(words_left), left, spans))
         made = pd.DataFrame(rows, columns=["n_words", "n_removed", "kept", "spans"])
-        yield pd.concat([batch[["doc_id"]].reset_index(drop=True), made], axis=1)
+        yield pd.concat([batch.drop(columns=["text", "places"]).reset_index(drop=True), made], axis=1)
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_words, n_removed, kept, spans) of every row; kept: its words joined by single spaces, without
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (), layout: bool = False) -> DataFrame:
+    """(doc_id[, kept columns], n_words, n_removed, kept, spans) of every row; kept: its words joined by single spaces, without
     those in windows of K words that also start earlier; spans: the word ranges [start, end) removed.
 
     Windows are judged on the input. A null text is an empty one. Null ids come before all others. Rows that repeat both id and text are one
     document and get equal results; rows that repeat an id with other texts are documents in the order of a
-    16-bit tag of their text. Texts of fewer than K words lose nothing. An empty table gives no rows. Only the two
-    named columns are read.
+    16-bit tag of their text. Texts of fewer than K words lose nothing. An empty table gives no rows. ``keep`` names
+    columns carried along as kept_<name>; others are not read. With ``layout`` a text that loses nothing is left as it is.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(
         F.col(id_col).alias("doc_id"),
         F.coalesce(F.col(id_col).cast("long"), F.lit(_NO_PATH)).alias("doc"),
         F.shiftrightunsigned(F.xxhash64(text), 48).alias("tag"),
+        *[F.col(c).alias(f"kept_{c}") for c in keep],
         text.alias("text"),
     )
-    paths = rows.select("doc", "tag", "text").mapInPandas(_emit_paths, "deal long, path long, doc long, place long, kind byte")
+    paths = map_slices(rows.select("doc", "tag", "text"), _emit_paths, "deal long, path long, doc long, place long, kind byte")
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = paths.repartition(n, "deal").sortWithinPartitions("deal", "path", "doc", "place")
-    found = stored(dealt.mapInPandas(_settle_paths, "doc long, place long, branch boolean"), "paths")
+    found = stored(map_slices(dealt, _settle_paths, "doc long, place long, branch boolean", rows=1 << 20), "paths")
     tag = F.shiftrightunsigned("place", _START_BITS + _N_BITS)
 
     def by_text(places: DataFrame) -> DataFrame:
         return places.groupBy("doc", tag.alias("tag")).agg(F.collect_list("place").alias("places")).hint("shuffle_hash")
 
     opened = rows.join(by_text(found.where("branch")), ["doc", "tag"])
-    windows = opened.select("doc", "tag", "text", "places").mapInPandas(_emit_windows, "one long, two long, doc long, place long, again boolean")
+    # All columns, needed or not: so both joins read the one exchange of the texts.
+    windows = map_slices(opened, _emit_windows, "one long, two long, doc long, place long, again boolean")
     later = F.rank().over(Window.partitionBy("one", "two").orderBy("doc", "place"))
     repeated = windows.withColumn("rank", later).where("again or rank > 1").select("doc", "place")
     gone = found.where("not branch").select("doc", "place").unionByName(repeated)
-    full = rows.join(by_text(gone), ["doc", "tag"], "left").select("doc_id", "text", "places")
-    kind = docs.schema[id_col].dataType.simpleString()
-    return full.mapInPandas(_cut, f"doc_id {kind}, n_words long, n_removed long, kept string, spans array<struct<start:long,end:long>>")
+    full = rows.join(by_text(gone), ["doc", "tag"], "left").drop("doc", "tag")
+    head = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in full.schema.fields if f.name not in ("text", "places"))
+    return map_slices(full, partial(_cut, layout=layout), f"{head}, n_words long, n_removed long, kept string, spans array<struct<start:long,end:long>>", rows=500)
 
 
 def op4_substring(spark, sf_dir: str) -> DataFrame:
