@@ -12,6 +12,7 @@ import os
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import chain, repeat
 
 import numpy as np
 import pandas as pd
@@ -82,59 +83,72 @@ def unpack(body: bytes) -> tuple[int | None, np.ndarray]:
 
 
 class WordEncoder:
-    """Encodes texts through the ids of their words, each of which the tokenizer sees once.
+    """Encodes texts through the ids of their words, each of which the tokenizer sees once while the table has room.
 
-    Valid for tokenizers whose pieces never reach across ASCII white space and that drop it, as this one's; a table
-    of more than max_words is begun anew.
+    Valid for tokenizers whose pieces never reach across ASCII white space and that drop it, as this one's. New words are
+    encoded many to a line and told apart by their places in it; beyond max_words they are encoded anew each time.
     """
 
-    def __init__(self, path: str, max_words: int = 400_000):
+    LINE = 64
+
+    def __init__(self, path: str, max_words: int = 600_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer, self.max_words = Tokenizer.from_file(path), max_words
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
-        self._clear()
-
-    def _clear(self) -> None:
         self.number: dict[bytes, int] = {}
-        self.ids = np.zeros(1 << 16, np.uint32)
-        self.at = np.zeros(1 << 16, np.int64)
-        self.end = 0
-
-    def _learn(self, words: list[bytes]) -> None:
-        got = self.tokenizer.encode_batch_fast([w.decode("utf-8") for w in words], add_special_tokens=False)
-        lists = [e.ids for e in got]
-        new = np.fromiter((i for x in lists for i in x), np.uint32)
-        lengths = np.fromiter(map(len, lists), np.int64, len(lists))
-        first = len(self.number)
-        while self.end + len(new) > len(self.ids):
-            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-        while first + len(words) + 1 > len(self.at):
-            self.at = np.concatenate([self.at, np.zeros_like(self.at)])
-        self.ids[self.end : self.end + len(new)] = new
-        self.at[first + 1 : first + len(words) + 1] = self.end + np.cumsum(lengths)
-        self.end += len(new)
-        self.number.update(zip(words, range(first, first + len(words)), strict=True))
+        self.ids = np.zeros(0, np.uint32)
+        self.at = np.zeros(1, np.int64)
+
+    def _ids_of(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of some words, and how many each word has."""
+        plain = [w.decode("utf-8") for w in words]
+        lines = [plain[i : i + self.LINE] for i in range(0, len(plain), self.LINE)]
+        ids, counts = [], []
+        for line, got in zip(lines, self.tokenizer.encode_batch([" ".join(x) for x in lines], add_special_tokens=False), strict=True):
+            ends = np.cumsum([len(w) + 1 for w in line])
+            starts = np.fromiter((a for a, _ in got.offsets), np.int64, len(got.ids))
+            counts.append(np.bincount(np.searchsorted(ends, starts, side="right"), minlength=len(line)))
+            ids.append(np.array(got.ids, np.uint32))
+        return np.concatenate(ids), np.concatenate(counts)
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         lines = [(t or "").encode("utf-8").split() for t in texts]
-        if len(self.number) > self.max_words:
-            self._clear()
-        known = self.number
-        new = list({w: None for line in lines for w in line if w not in known})
-        if new:
-            self._learn(new)
-        codes = np.fromiter((known[w] for line in lines for w in line), np.int64)
-        begin, size = self.at[codes], self.at[codes + 1] - self.at[codes]
+        words = list(chain.from_iterable(lines))
+        codes = np.fromiter(map(self.number.get, words, repeat(-1)), np.int64, len(words))
+        ids, at = self.ids, self.at
+        missing = np.flatnonzero(codes < 0)
+        if len(missing):
+            lacking = [words[i] for i in missing.tolist()]
+            new = list(dict.fromkeys(lacking))
+            more, counts = self._ids_of(new)
+            first = len(at) - 1
+            ids, at = np.concatenate([ids, more]), np.concatenate([at, at[-1] + np.cumsum(counts)])
+            place = dict(zip(new, range(first, first + len(new)), strict=True))
+            codes[missing] = np.fromiter(map(place.__getitem__, lacking), np.int64, len(lacking))
+            if first + len(new) <= self.max_words:
+                self.ids, self.at = ids, at
+                self.number.update(place)
+        begin, size = at[codes], at[codes + 1] - at[codes]
         ends = np.cumsum(size)
         total = int(ends[-1]) if len(ends) else 0
-        flat = self.ids[np.repeat(begin - (ends - size), size) + np.arange(total)]
-        words = np.cumsum([len(x) for x in lines])
-        cuts = np.where(words > 0, ends[np.maximum(words - 1, 0)] if len(ends) else 0, 0)
+        flat = ids[np.repeat(begin - (ends - size), size) + np.arange(total)]
+        upto = np.cumsum([len(x) for x in lines])
+        cuts = np.where(upto > 0, ends[np.maximum(upto - 1, 0)] if len(ends) else 0, 0)
         return np.split(flat, cuts[:-1])
 
 
+_encoders: dict[str, WordEncoder] = {}
+
+
+def encoder_for(path: str) -> WordEncoder:
+    """One encoder a worker process: what a task has learned serves the next."""
+    if path not in _encoders:
+        _encoders[path] = WordEncoder(path)
+    return _encoders[path]
+
+
 def write_tokens(docs: DataFrame, out: str, tokenizer_path: str | None = None, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Writes every row of docs in ascending order of id to files in ``out``; returns their table, one row a file.
 
@@ -150,7 +164,7 @@ def write_tokens(docs: DataFrame, out: str, tokenizer_path: str | None = None, e
 
         where, folder = filesystem(out)
         name = attempt_name("tokens", ".rec")
-        encoder, offsets, n_tokens, at = WordEncoder(path), [], 0, 0
+        encoder, offsets, n_tokens, at = encoder_for(path), [], 0, 0
         with where.open_output_stream(f"{folder}/{name}") as stream:
             for batch in batches:
                 ids = [None if pd.isna(i) else int(i) for i in batch["doc_id"]]
