@@ -53,6 +53,8 @@ def near_duplicates(docs: DataFrame, order: str, text: Column, n: int = N, strid
     """
     rows = HASHES // BANDS
     made = docs.select(F.col(order).alias("_id"), signatures(capped_form(text, cap), n, stride).alias("s")).where("s is not null")
+    # Both uses of the signatures read this exchange, so each text is hashed once.
+    made = made.repartition("_id")
     bands = F.array(*[F.struct(F.lit(b).alias("band"), F.slice("s", b * rows + 1, rows).alias("key")) for b in range(BANDS)])
     placed = made.select("_id", F.inline(bands))
     first = placed.groupBy("band", "key").agg(F.min("_id").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
