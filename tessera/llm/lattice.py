@@ -17,14 +17,15 @@ from tessera.llm.spans import mix
 _U = np.uint64
 #: Characters after which a unit is cut even if pieces could reach across.
 MAX_UNIT = 1024
-_BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
+#: Characters up to which a unit's backward sums cannot underflow.
+LONG_UNIT = 24
+_BASE = 0x9E3779B97F4A7C15
 
 
 @lru_cache(maxsize=16)
-def _powers(which: int, inverse: bool, bits: int) -> np.ndarray:
-    base = _BASES[which]
+def _powers(inverse: bool, bits: int) -> np.ndarray:
     out = np.ones(1 << bits, _U)
-    out[1:] = _U(pow(base, -1, 2**64) if inverse else base)
+    out[1:] = _U(pow(_BASE, -1, 2**64) if inverse else _BASE)
     return np.multiply.accumulate(out)
 
 
@@ -35,13 +36,13 @@ def code_points(text: str) -> np.ndarray:
 class Sums:
     """Prefix sums over code points: the hash of any stretch of them."""
 
-    def __init__(self, points: np.ndarray, which: int):
-        self.which, self.bits = which, max(12, int(len(points)).bit_length())
-        values = mix(points.astype(_U) + _U(1 + which)) * _powers(which, False, self.bits)[: len(points)]
+    def __init__(self, points: np.ndarray):
+        self.bits = max(12, int(len(points)).bit_length())
+        values = mix(points.astype(_U) + _U(1)) * _powers(False, self.bits)[: len(points)]
         self.sums = np.concatenate([np.zeros(1, _U), np.cumsum(values, dtype=_U)])
 
     def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        return (self.sums[end] - self.sums[start]) * _powers(self.which, True, self.bits)[start]
+        return (self.sums[end] - self.sums[start]) * _powers(True, self.bits)[start]
 
 
 class Vocabulary:
@@ -67,6 +68,7 @@ class Vocabulary:
                 by_length.setdefault(len(plain), []).append((plain, i))
                 ranks[i] = max(-model.get_score(i), 0) if model.get_score(i) > -1e8 else n
         self.weight = -alpha * np.log(2 + np.minimum(ranks, n))
+        self.odds = np.exp(self.weight)
         self.byte_weight = -alpha * float(np.log(2 + n))
         self.longest = max(by_length)
         self.tables = {}
@@ -75,7 +77,7 @@ class Vocabulary:
             some = by_length.get(length, [])
             points = code_points("".join(p for p, _ in some))
             at = np.arange(len(some)) * length
-            one, two = (Sums(points, w).of(at, at + length) for w in (0, 1))
+            one = Sums(points).of(at, at + length)
             order = np.argsort(one)
             longer = [p for p in longer if len(p) > length]
             heads = code_points("".join(sorted({p[:length] for p in longer})))
@@ -83,8 +85,9 @@ class Vocabulary:
             # Bit 0: a piece of this length may hash so; bit 1: so may the beginning of a longer one.
             maybe = np.zeros(1 << 20, np.uint8)
             maybe[_slot(one)] |= 1
-            maybe[_slot(Sums(heads, 0).of(at, at + length))] |= 2
-            self.tables[length] = (one[order], two[order], np.array([i for _, i in some], np.int32)[order], maybe)
+            maybe[_slot(Sums(heads).of(at, at + length))] |= 2
+            ends = points.reshape(-1, length)[order][:, [0, -1]]
+            self.tables[length] = (one[order], ends, np.array([i for _, i in some], np.int32)[order], maybe)
 
 
 def _slot(hashes: np.ndarray) -> np.ndarray:
@@ -119,7 +122,7 @@ class Lattice:
             size = np.diff(np.append(start, n))
         self.doc = np.searchsorted(first, start, side="right") - 1 if len(start) else start
         # Texts without characters share their first character with the next one; the last of them owns it.
-        sums = Sums(points, 0)
+        sums = Sums(points)
         _, kept, which = np.unique(sums.of(start, start + size), return_index=True, return_inverse=True)
         if len(start):
             same = (size == size[kept][which]).all()
@@ -142,18 +145,19 @@ class Lattice:
         left = size[unit] - offset
         self.last = np.zeros(total + len(size), bool)
         self.last[self.node_of + size] = True
-        one, two = Sums(points, 0), Sums(points, 1)
+        one = Sums(points)
         n_nodes, wide = total + len(size), min(v.longest, int(size.max(initial=1)))
-        # Row: the node an edge begins at; column: one less than its length.
-        weight = np.full((n_nodes, wide), -np.inf)
-        piece = np.zeros((n_nodes, wide), np.int32)
+        # Row: the node an edge begins at; column: the longest edges' first, for they are the likeliest as a rule and
+        # most draws end at a node's first edge.
+        weight = np.zeros((n_nodes, wide))
+        piece = np.empty((n_nodes, wide), np.int32)
         at = np.arange(total)
         covered = np.zeros(total, bool)
         for length in range(1, v.longest + 1):
             at = at[left[at] >= length]
             if not len(at):
                 break
-            hashes, second, ids, maybe = v.tables[length]
+            hashes, ends, ids, maybe = v.tables[length]
             h = one.of(at, at + length)
             what = maybe[_slot(h)]
             some = np.flatnonzero(what & 1)
@@ -161,32 +165,44 @@ class Lattice:
                 k = np.minimum(np.searchsorted(hashes, h[some]), len(hashes) - 1)
                 hit = hashes[k] == h[some]
                 some, k = some[hit], k[hit]
-                hit = second[k] == two.of(at[some], at[some] + length)
+                hit = (ends[k, 0] == points[at[some]]) & (ends[k, 1] == points[at[some] + length - 1])
                 here, k = at[some[hit]], k[hit]
-                weight[node[here], length - 1] = v.weight[ids[k]]
-                piece[node[here], length - 1] = ids[k]
+                weight[node[here], wide - length] = v.odds[ids[k]]
+                piece[node[here], wide - length] = ids[k]
                 if length == 1:
                     covered[here] = True
             at = at[(what & 2) > 0]
         bare = np.flatnonzero(~covered)
         code = points[bare].astype(np.int64)
         n_bytes = 1 + (code > 0x7F) + (code > 0x7FF) + (code > 0xFFFF)
-        weight[node[bare], 0] = v.byte_weight * n_bytes
-        piece[node[bare], 0] = -code - 1
-        # Backward sums, by distance from the unit's end.
+        weight[node[bare], wide - 1] = np.exp(v.byte_weight * n_bytes)
+        piece[node[bare], wide - 1] = -code - 1
+        # Backward sums, by distance from the unit's end; as plain products where no unit is long enough to underflow.
         order = np.argsort(left.astype(np.int16), kind="stable")
-        bounds = np.searchsorted(left[order], np.arange(1, int(left.max(initial=0)) + 2))
-        beta = np.zeros(n_nodes)
-        for r, (a, z) in enumerate(zip(bounds[:-1], bounds[1:], strict=True), 1):
-            here, c = node[order[a:z]], min(r, wide)
-            value = weight[here, :c] + beta[here[:, None] + np.arange(1, c + 1)]
-            most = value.max(axis=1)
-            beta[here] = most + np.log(np.exp(value - most[:, None]).sum(axis=1))
-        # The longest edge of a node first: it is the likeliest as a rule, and most draws end there.
-        self.begin, column = np.nonzero(weight[:, ::-1] > -np.inf)
-        column = wide - 1 - column
-        self.end, self.piece = self.begin + column + 1, piece[self.begin, column]
-        self.log_p = np.minimum(weight[self.begin, column] + beta[self.end] - beta[self.begin], 0.0)
+        long = size[unit] > LONG_UNIT
+        log_beta = np.zeros(n_nodes)
+        for many, logs in ((order[~long[order]], False), (order[long[order]], True)):
+            if not len(many):
+                continue
+            bounds = np.searchsorted(left[many], np.arange(1, int(left[many[-1]]) + 2))
+            beta = log_beta if logs else np.ones(n_nodes)
+            for r, (a, z) in enumerate(zip(bounds[:-1], bounds[1:], strict=True), 1):
+                here, c = node[many[a:z]], min(r, wide)
+                after = beta[here[:, None] + np.arange(c, 0, -1)]
+                if logs:
+                    with np.errstate(divide="ignore"):
+                        value = np.log(weight[here, wide - c :]) + after
+                    most = value.max(axis=1)
+                    beta[here] = most + np.log(np.exp(value - most[:, None]).sum(axis=1))
+                else:
+                    beta[here] = np.einsum("ij,ij->i", weight[here, wide - c :], after)
+            if not logs:
+                short = node[many]
+                log_beta[short] = np.log(beta[short])
+        cells = np.flatnonzero(weight)
+        self.begin, column = np.divmod(cells, wide)
+        self.end, self.piece = self.begin + wide - column, piece.reshape(-1)[cells]
+        self.log_p = np.minimum(np.log(weight.reshape(-1)[cells]) + log_beta[self.end] - log_beta[self.begin], 0.0)
         self.p = np.exp(self.log_p)
         self.head = np.searchsorted(self.begin, np.arange(n_nodes + 1))
         run = np.cumsum(self.p)

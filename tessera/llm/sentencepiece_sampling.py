@@ -12,6 +12,8 @@ the rows around it.
 
 from __future__ import annotations
 
+import hashlib
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,7 +33,7 @@ SEED = 53
 ALPHA = 0.5
 K = 2
 #: Characters whose lattices are held at once; a longer text is taken alone.
-BATCH_CHARS = 2 << 20
+BATCH_CHARS = 1 << 19
 _U = np.uint64
 _loaded: dict = {}
 
@@ -59,29 +61,6 @@ def _truncated(mass: np.ndarray, u: np.ndarray, top: float | np.ndarray) -> np.n
         return np.where(np.isneginf(mass), -np.inf, -np.logaddexp(-top, -(mass + _gumbel(u))))
 
 
-class _Path:
-    """One sampled path of a text: its edges and units, and the sets that leave it from position ``fork`` on."""
-
-    __slots__ = ("edges", "units", "log_p", "value", "fork", "barred", "open")
-
-    def __init__(self, lattice: Lattice, edges: np.ndarray, units: np.ndarray, value: float, fork: int, barred: list[int], key: np.ndarray, stream: int):
-        self.edges, self.units, self.value, self.fork, self.barred = edges, units, value, fork, barred
-        steps = lattice.log_p[edges]
-        before = np.cumsum(steps) - steps
-        self.log_p = float(steps.sum())
-        away = 1 - lattice.p[edges[fork:]]
-        if len(away) and barred:
-            away[0] -= lattice.p[barred].sum()
-        # A node's only edge has probability one but for rounding.
-        only = lattice.head[lattice.begin[edges[fork:]] + 1] - lattice.head[lattice.begin[edges[fork:]]] == 1
-        if len(away) and barred:
-            only[0] |= lattice.head[lattice.begin[edges[fork]] + 1] - lattice.head[lattice.begin[edges[fork]]] == 1 + len(barred)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            mass = np.where(only | (away <= 0), -np.inf, before[fork:] + np.log(np.maximum(away, 1e-300)))
-        u = _uniform(np.broadcast_to(key, mass.shape), stream, np.arange(len(mass)) + fork, 1 << 40)
-        self.open = _truncated(mass, u, value)
-
-
 def _walk(lattice: Lattice, nodes: np.ndarray, keys: np.ndarray, units: np.ndarray, stream: int) -> tuple[np.ndarray, np.ndarray]:
     """Draws from each node to its unit's end: the edges in order, and which start each belongs to."""
     active, now = np.arange(len(nodes)), nodes
@@ -102,73 +81,143 @@ def _walk(lattice: Lattice, nodes: np.ndarray, keys: np.ndarray, units: np.ndarr
     return edge[order], owner[order]
 
 
+class _Round:
+    """One new path of each of some texts: its edges from where it leaves the path it forks from, in one array.
+
+    ``open`` holds, for each edge, the largest perturbed value among paths that go with this one up to it, and no
+    further. position: of a text's first new edge in its whole path; before: the log-probability up to there.
+    """
+
+    def __init__(self, lattice: Lattice, number: int, docs: np.ndarray, edges: np.ndarray, units: np.ndarray, owner: np.ndarray, position: np.ndarray, before: np.ndarray, value: np.ndarray, barred: list[list[int]], keys: np.ndarray):
+        self.docs, self.edges, self.units, self.position, self.value, self.barred = docs, edges, units, position, value, barred
+        self.bounds = np.searchsorted(owner, np.arange(len(docs) + 1))
+        first = self.bounds[:-1]
+        steps = lattice.log_p[edges]
+        sums = np.concatenate([[0.0], np.cumsum(steps)])
+        at = sums[:-1] - (sums[first] - before)[owner]
+        self.at = at
+        self.log_p = sums[self.bounds[1:]] - sums[first] + before
+        away = 1 - lattice.p[edges]
+        node = lattice.begin[edges]
+        others = lattice.head[node + 1] - lattice.head[node] - 1
+        for i in np.flatnonzero([bool(x) for x in barred]).tolist():
+            away[first[i]] -= lattice.p[barred[i]].sum()
+            others[first[i]] -= len(barred[i])
+        mass = np.where((others <= 0) | (away <= 0), -np.inf, at + np.log(np.maximum(away, 1e-300)))
+        place = np.arange(len(edges)) - (first - position)[owner]
+        self.open = _truncated(mass, _uniform(keys[docs[owner]], number, place, 1 << 40), value[owner])
+        self.best = np.full(len(docs), -np.inf)
+        self.where = np.zeros(len(docs), np.int64)
+        full = np.flatnonzero(np.diff(self.bounds) > 0)
+        if len(full):
+            self.best[full] = np.maximum.reduceat(self.open, first[full])
+            top = np.flatnonzero(self.open == self.best[owner])
+            self.where[owner[top[::-1]]] = top[::-1]
+        self.row = {d: i for i, d in enumerate(docs.tolist())}
+
+    def take(self, i: int) -> tuple[float, int]:
+        """The best open value of text i and its place; the next best takes its stead."""
+        value, k = float(self.best[i]), int(self.where[i])
+        self.open[k] = -np.inf
+        a, z = self.bounds[i], self.bounds[i + 1]
+        self.where[i] = a + int(self.open[a:z].argmax())
+        self.best[i] = self.open[self.where[i]]
+        return value, k
+
+
 def _sample(texts: list[str], keys: np.ndarray, vocabulary: Vocabulary, k: int) -> list[list[tuple[np.ndarray, float, float, float]]]:
     """For each text up to k (ids, log-probability, perturbed value, inclusion score), largest value first."""
     lattice = Lattice(texts, vocabulary)
-    n_units = np.bincount(lattice.doc, minlength=len(texts))
+    n = len(texts)
+    n_units = np.bincount(lattice.doc, minlength=n)
     first_unit = np.cumsum(n_units) - n_units
     rank = np.arange(len(lattice.doc)) - first_unit[lattice.doc]
-    tops = _gumbel(_uniform(keys, 0, np.zeros(len(texts), np.int64), 1 << 41))
+    tops = _gumbel(_uniform(keys, 0, np.zeros(n, np.int64), 1 << 41))
     edges, owner = _walk(lattice, lattice.root, keys[lattice.doc], rank, 1)
-    bounds = np.searchsorted(lattice.doc[owner] if len(owner) else owner, np.arange(len(texts) + 1))
-    paths: list[list[_Path]] = []
-    for d in range(len(texts)):
-        a, z = bounds[d], bounds[d + 1]
-        paths.append([_Path(lattice, edges[a:z], rank[owner[a:z]], float(tops[d]), 0, [], keys[d], 1)])
+    zeros = np.zeros(n)
+    rounds = [_Round(lattice, 1, np.arange(n), edges, rank[owner] if len(owner) else owner, lattice.doc[owner] if len(owner) else owner, zeros.astype(np.int64), zeros, tops, [[]] * n, keys)]
+    ids = [_Ids(lattice, vocabulary, edges)]
+    # Of each text its paths so far: (ids, log-probability, value).
+    out: list[list] = [[(ids[0].part(a, z), p, v)] for a, z, p, v in zip(rounds[0].bounds[:-1], rounds[0].bounds[1:], rounds[0].log_p.tolist(), tops.tolist(), strict=True)]
+    starts: list[dict[int, np.ndarray]] = [{}]
     for number in range(2, k + 1):
         forks = []
-        for d, known in enumerate(paths):
-            if len(known) != number - 1:
+        for d in range(n):
+            if len(out[d]) < number - 1:
                 continue
-            source = max((p for p in known if len(p.open)), key=lambda p: p.open.max(), default=None)
-            at = -1 if source is None else int(source.open.argmax())
-            if source is None or np.isneginf(source.open[at]):
+            mine = [r for r in range(len(rounds)) if d in rounds[r].row]
+            r = max(mine, key=lambda r: rounds[r].best[rounds[r].row[d]])
+            source, i = rounds[r], rounds[r].row[d]
+            if np.isneginf(source.best[i]):
                 continue
-            value, source.open[at] = float(source.open[at]), -np.inf
-            t = source.fork + at
-            barred = [int(source.edges[t]), *(source.barred if at == 0 else [])]
-            node = int(lattice.begin[source.edges[t]])
-            options = np.array([e for e in range(lattice.head[node], lattice.head[node + 1]) if e not in barred])
+            value, at = source.take(i)
+            head = int(source.bounds[i])
+            edge = int(source.edges[at])
+            barred = [edge, *(source.barred[i] if at == head else [])]
+            node = int(lattice.begin[edge])
+            options = [e for e in range(int(lattice.head[node]), int(lattice.head[node + 1])) if e not in barred]
             share = np.cumsum(lattice.p[options])
-            u = float(_uniform(keys[d : d + 1], number, np.array([t]), 1 << 42)[0]) * share[-1]
-            forced = int(options[min(int(np.searchsorted(share, u, side="right")), len(options) - 1)])
-            forks.append((d, source, t, value, barred, forced))
+            forks.append((d, r, i, at, value, barred, options, share))
         if not forks:
             break
+        docs, places = np.array([f[0] for f in forks]), np.array([f[3] for f in forks])
+        position = np.array([rounds[r].position[i] + at - rounds[r].bounds[i] for _, r, i, at, *_ in forks])
+        draws = _uniform(keys[docs], number, position, 1 << 42)
+        forced = np.array([o[min(int(np.searchsorted(s, u * s[-1], side="right")), len(o) - 1)] for (*_, o, s), u in zip(forks, draws.tolist(), strict=True)])
+        unit = np.array([rounds[r].units[at] for _, r, _, at, *_ in forks])
         # One walk for the rests of all texts: the forked unit from its new edge on, and all units after it.
-        docs = np.array([f[0] for f in forks])
-        unit = np.array([f[1].units[f[2]] for f in forks])
         counts = n_units[docs] - unit
         which = np.repeat(np.arange(len(forks)), counts)
-        u = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts) + unit[which]
+        begin = np.cumsum(counts) - counts
+        u = np.arange(counts.sum()) - begin[which] + unit[which]
         nodes = lattice.root[first_unit[docs[which]] + u]
-        nodes[np.cumsum(counts) - counts] = lattice.end[[f[5] for f in forks]]
+        nodes[begin] = lattice.end[forced]
         edges, owner = _walk(lattice, nodes, keys[docs[which]], u, number)
-        bounds = np.searchsorted(which[owner] if len(owner) else owner, np.arange(len(forks) + 1))
-        for i, (d, source, t, value, barred, forced) in enumerate(forks):
-            a, z = bounds[i], bounds[i + 1]
-            own = np.concatenate([source.edges[:t], [forced], edges[a:z]])
-            own_units = np.concatenate([source.units[: t + 1], u[owner[a:z]]])
-            paths[d].append(_Path(lattice, own, own_units, value, t, barred, keys[d], number))
-    out = []
-    for known in paths:
-        kappa = max((float(p.open.max()) for p in known if len(p.open)), default=-np.inf) if len(known) == k else -np.inf
+        fork_of = which[owner] if len(owner) else owner
+        # The forced edges go before what follows them.
+        ahead = np.searchsorted(fork_of, np.arange(len(forks)))
+        edges = np.insert(edges, ahead, forced)
+        units = np.insert(u[owner] if len(owner) else owner, ahead, unit)
+        fork_of = np.insert(fork_of, ahead, np.arange(len(forks)))
+        before = np.array([rounds[r].at[at] for _, r, _, at, *_ in forks])
+        values = np.array([f[4] for f in forks])
+        new = _Round(lattice, number, docs, edges, units, fork_of, position, before, values, [f[5] for f in forks], keys)
+        made = _Ids(lattice, vocabulary, edges)
+        starts.append({})
+        for j, (d, r, i, at, value, *_) in enumerate(forks):
+            lead = ids[r].part(int(rounds[r].bounds[i]), at)
+            if r:
+                lead = np.concatenate([starts[r][d], lead])
+            starts[-1][d] = lead
+            out[d].append((np.concatenate([lead, made.part(int(new.bounds[j]), int(new.bounds[j + 1]))]), float(new.log_p[j]), value))
+        rounds.append(new)
+        ids.append(made)
+    done = []
+    for d, some in enumerate(out):
+        kappa = max((float(r.best[r.row[d]]) for r in rounds if d in r.row), default=-np.inf) if len(some) == k else -np.inf
         with np.errstate(over="ignore"):
-            out.append([(_ids(lattice, vocabulary, p.edges), p.log_p, p.value, 1.0 if np.isneginf(kappa) else float(-np.expm1(-np.exp(p.log_p - kappa)))) for p in known])
-    return out
+            done.append([(x, p, v, 1.0 if np.isneginf(kappa) else float(-np.expm1(-np.exp(p - kappa)))) for x, p, v in some])
+    return done
 
 
-def _ids(lattice: Lattice, vocabulary: Vocabulary, edges: np.ndarray) -> np.ndarray:
-    pieces = lattice.piece[edges]
-    if not (pieces < 0).any():
-        return pieces.astype(np.int32)
-    bare = np.flatnonzero(pieces < 0)
-    spelled = [vocabulary.byte_id[list(chr(-p - 1).encode("utf-8", "surrogatepass"))] for p in pieces[bare].tolist()]
-    counts = np.ones(len(pieces), np.int64)
-    counts[bare] = [len(x) for x in spelled]
-    out = np.repeat(pieces, counts)
-    out[out < 0] = np.concatenate(spelled)
-    return out.astype(np.int32)
+class _Ids:
+    """The piece ids of many edges, with bytes in the place of edges that no piece has."""
+
+    def __init__(self, lattice: Lattice, vocabulary: Vocabulary, edges: np.ndarray):
+        pieces = lattice.piece[edges]
+        bare = np.flatnonzero(pieces < 0)
+        counts = np.ones(len(pieces), np.int64)
+        if len(bare):
+            codes, which = np.unique(pieces[bare], return_inverse=True)
+            spelled = [vocabulary.byte_id[list(chr(-c - 1).encode("utf-8", "surrogatepass"))] for c in codes.tolist()]
+            counts[bare] = np.array([len(x) for x in spelled])[which]
+        self.at = np.concatenate([[0], np.cumsum(counts)])
+        self.ids = np.repeat(pieces, counts).astype(np.int32)
+        if len(bare):
+            self.ids[self.ids < 0] = np.concatenate([spelled[w] for w in which.tolist()])
+
+    def part(self, a: int, z: int) -> np.ndarray:
+        return self.ids[self.at[a] : self.at[z]]
 
 
 def row_key(seed: int, key: int | None, text: str) -> int:
@@ -179,7 +228,7 @@ def row_key(seed: int, key: int | None, text: str) -> int:
 
 
 def sample_encode(
-    docs: DataFrame, k: int = K, seed: int = SEED, alpha: float = ALPHA, model_file: str | None = None, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()
+    docs: DataFrame, k: int = K, seed: int = SEED, alpha: float = ALPHA, model_file: str | None = None, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (), digest: bool = False
 ) -> DataFrame:
     """(doc_id, sample, ids, log_prob, perturbed, inclusion[, kept columns]): up to k distinct segmentations of every whole text.
 
@@ -187,6 +236,9 @@ def sample_encode(
     all, with inclusion 1. A null or empty text has one segmentation, of no pieces. Rows that repeat an id draw from the same
     stream (equal texts, equal draws); rows without an id are keyed by their text. Any character is encoded, by bytes
     where no piece has it. An empty table gives no rows. ``keep`` names columns carried along; others are not read.
+
+    With ``digest`` the ids stay in the worker that drew them: in their place come n_pieces, ids_crc32 (of the ids as
+    little-endian 32-bit integers) and decoded_sha256 (of the text that they decode to).
     """
     path = model_file or public_tokenizers.path(MODEL)
 
@@ -206,12 +258,16 @@ def sample_encode(
                 found = _sample([f" {t}" if t else "" for t in texts[at:upto]], keys[at:upto], vocabulary, k)
                 rows = [(at + i, s, *one) for i, some in enumerate(found) for s, one in enumerate(some)]
                 frame = pd.DataFrame(rows, columns=["row", "sample", "ids", "log_prob", "perturbed", "inclusion"])
+                if digest:
+                    made = [(len(x), zlib.crc32(x.astype("<i4").tobytes()), hashlib.sha256(decode_ids(x.tolist(), vocabulary).encode("utf-8")).hexdigest()) for x in frame["ids"]]
+                    frame = pd.concat([frame.drop(columns="ids"), pd.DataFrame(made, columns=["n_pieces", "ids_crc32", "decoded_sha256"])], axis=1)
                 yield pd.concat([carried.iloc[frame["row"]].reset_index(drop=True), frame.drop(columns="row")], axis=1)
                 at = upto
 
     carried = docs.select(F.col(id_col).cast("long").alias("doc_id"), *[F.col(c).alias(f"kept_{c}") for c in keep], F.col(text_col).alias("text"))
     head = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in carried.schema.fields[:-1])
-    return map_slices(carried, encode, f"{head}, sample int, ids array<int>, log_prob double, perturbed double, inclusion double")
+    what = "n_pieces long, ids_crc32 long, decoded_sha256 string" if digest else "ids array<int>"
+    return map_slices(carried, encode, f"{head}, sample int, {what}, log_prob double, perturbed double, inclusion double", rows=1000)
 
 
 def decode_ids(ids, vocabulary: Vocabulary) -> str:
@@ -235,15 +291,4 @@ def decode(ids, model_file: str | None = None):
 
 def op6_sentencepiece(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    found = sample_encode(docs)
-    text = decode(F.col("ids"))
-    return found.select(
-        "doc_id",
-        "sample",
-        F.size("ids").alias("n_pieces"),
-        F.crc32(F.array_join("ids", ",")).alias("ids_crc32"),
-        "log_prob",
-        "perturbed",
-        "inclusion",
-        F.sha2(text, 256).alias("decoded_sha256"),
-    )
+    return sample_encode(docs, digest=True)

@@ -120,3 +120,12 @@ def test_query_round_trip_and_odd_rows(spark, sf):
     found = s.sample_encode(table).select("doc_id", "sample", "ids", s.decode(F.col("ids")).alias("t")).collect()
     assert sorted((str(r.doc_id), r.sample, r.t) for r in found) == sorted([("1", 0, ""), ("2", 0, ""), *[(i, n, "some text") for i in ("None", "3", "3") for n in (0, 1)]])
     assert s.sample_encode(table.where(F.lit(False))).count() == 0
+
+
+def test_digests_are_those_of_the_ids(spark, sf):
+    import hashlib
+    import zlib
+
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    ids = {(r.doc_id, r.sample): (len(r.ids), zlib.crc32(np.array(r.ids, "<i4").tobytes()), hashlib.sha256(r.t.encode()).hexdigest()) for r in s.sample_encode(docs).select("*", s.decode(F.col("ids")).alias("t")).collect()}
+    assert {(r.doc_id, r.sample): (r.n_pieces, r.ids_crc32, r.decoded_sha256) for r in s.op6_sentencepiece(spark, sf).collect()} == ids
