@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.common import stored
+from tessera.llm.common import small_batches, stored
 from tessera.llm.components import components
 
 HASH_SEED = 42
@@ -119,17 +119,20 @@ def near_links(fingerprints: DataFrame, limit: int = MAX_DISTANCE, max_bucket: i
     return links.unionByName(_meeting_links(hot.select("fp").distinct(), limit))
 
 
+def _within(fingerprints: DataFrame, bits: int) -> DataFrame:
+    """(fp, point): every point at most ``bits`` bits from each fingerprint, once; 65 for one bit, 2,081 for two."""
+    points = fingerprints.select("fp", F.col("fp").alias("point"), F.lit(-1).alias("last"))
+    for _ in range(bits):
+        # Bits in rising order; 64 stands for none, after which only none follows.
+        chosen = points.select("fp", "point", F.explode(F.sequence(F.least(F.col("last") + 1, F.lit(64)), F.lit(64))).alias("last"))
+        flip = F.when(F.col("last") < 64, F.expr("shiftleft(1L, last)")).otherwise(F.lit(0).cast("long"))
+        points = chosen.select("fp", F.col("point").bitwiseXOR(flip).alias("point"), "last")
+    return points.select("fp", "point")
+
+
 def _meeting_links(fingerprints: DataFrame, limit: int) -> DataFrame:
-    near, far = limit // 2, limit - limit // 2
-    flips = [sum(1 << i for i in some) for n in range(far + 1) for some in combinations(range(64), n)]
-    flips = np.array(flips, dtype=np.uint64).view(np.int64).tolist()
-    n_near = sum(1 for n in range(near + 1) for _ in combinations(range(64), n))
-    flip = F.array(*[F.lit(m) for m in flips[:n_near]])
-    hubs = fingerprints.select("fp", F.explode(flip).alias("flip"))
-    hubs = hubs.groupBy(F.col("fp").bitwiseXOR(F.col("flip")).alias("point")).agg(F.min("fp").alias("hub"))
-    every = fingerprints.sparkSession.createDataFrame(pd.DataFrame({"flip": flips}))
-    # 2,081 flips, a fixed table: the one product here is of a fingerprint with its own neighbourhood.
-    spread = fingerprints.join(F.broadcast(every)).select("fp", F.col("fp").bitwiseXOR(F.col("flip")).alias("point"))
+    hubs = _within(fingerprints, limit // 2).groupBy("point").agg(F.min("fp").alias("hub"))
+    spread = _within(fingerprints, limit - limit // 2)
     return spread.join(hubs, "point").where("fp <> hub").select(F.col("hub").alias("a"), F.col("fp").alias("b")).distinct()
 
 
@@ -140,6 +143,7 @@ def near_duplicates(docs: DataFrame, limit: int = MAX_DISTANCE, id_col: str = "d
     id are given the component of what they link to, null if nothing with an id. Repeated rows get equal results;
     an empty table gives no rows. Only the two named columns are read.
     """
+    small_batches(docs.sparkSession)
     marks = stored(docs.select(F.col(id_col).alias("doc_id"), fingerprint_udf(F.col(text_col)).alias("fp")), "fingerprints")
     classes = stored(marks.groupBy("fp").agg(F.min("doc_id").alias("least")), "classes")
     roots = components(near_links(classes.select("fp"), limit))
