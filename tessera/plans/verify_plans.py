@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions import text as t
 from tessera.operators import audit, budget
-from tessera.plans.clean_plans import cascade
+from tessera.plans.clean_plans import _CASCADE, cascade
 from tessera.plans.text_plans import HASH, NUMBER, hashed
 from tessera.sources.tables import table
 from tessera.streaming.incremental import new_documents
@@ -96,6 +96,10 @@ c AS (SELECT lang, documents + CASE WHEN lang = 'de' THEN 1 ELSE 0 END AS docume
 SELECT coalesce(o.lang, c.lang) AS lang, c.documents AS documents_claimed, c.bytes AS bytes_claimed, o.documents AS documents_observed, o.bytes AS bytes_observed,
   c.documents IS NOT DISTINCT FROM o.documents AND c.bytes IS NOT DISTINCT FROM o.bytes AS agrees FROM c FULL JOIN o ON c.lang = o.lang""",
     "frozen_integrity": "SELECT doc_id FROM documents WHERE doc_id % 100 = 7",
+    "mixture_violations": f"""
+WITH {_CASCADE}, s AS (SELECT lang, round(sum(bytes)::DOUBLE / (SELECT sum(bytes) FROM cascade WHERE drop_reason IS NULL) * 100, 6) AS p FROM cascade WHERE drop_reason IS NULL GROUP BY lang),
+w AS (SELECT * FROM (VALUES ('de', 30.0::DOUBLE), ('en', 30.0), ('es', 20.0), ('fr', 20.0)) AS v(lang, wanted))
+SELECT lang, coalesce(p, 0) AS percent, abs(coalesce(p, 0) - wanted) > 3 AS off_target, coalesce(p, 0) > 35 AS over_cap FROM w LEFT JOIN s USING (lang)""",
     "incremental_dedup": f"SELECT DISTINCT {HASH} AS doc_sha256 FROM documents",
     "bits_per_byte": f"SELECT lang, round(sum(len(regexp_extract_all(text, '[^{t.SQL_WS}]+')))::DOUBLE / (ln(2.0::DOUBLE) * sum(strlen(text))), 6) AS bits_per_byte FROM documents GROUP BY lang",
     "throughput_stats": """
