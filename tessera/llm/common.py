@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
+import gc
 import shutil
 import tempfile
 import uuid
@@ -61,20 +63,54 @@ def named(column: str) -> Column:
     return F.when(F.col(column).isNull(), F.lit("n")).otherwise(F.concat(F.lit("s"), F.col(column)))
 
 
-def map_slices(df: DataFrame, fn, ddl: str, rows: int = 1500) -> DataFrame:
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Lowers the rows of an Arrow batch, where it has Spark's default of 10,000: a row here is a whole text, and a batch is
+    held in the JVM's direct memory and in Python at once."""
+    if spark.conf.get(ARROW_ROWS) == "10000":
+        spark.conf.set(ARROW_ROWS, str(rows))
+
+
+def release_memory() -> None:
+    """Hands freed memory back to the system: a worker process lives on after its task, beside the next ones."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:  # a C library without it
+        pass
+
+
+def map_slices(df: DataFrame, fn, ddl: str, rows: int = 1000, gather: int = 1) -> DataFrame:
     """mapInPandas over slices of the Arrow batches, so that only ``rows`` rows are Python objects at a time.
 
+    Batches are gathered first until they have ``gather`` rows, for narrow rows that are handled as arrays.
+
     Long columns arrive as nullable integers: a null does not turn its neighbours into floats.
     """
+    small_batches(df.sparkSession)
     schema = to_arrow_schema(T.StructType.fromDDL(ddl))
 
     def run(batches):
+        held: list[pa.RecordBatch] = []
+
+        def slices():
+            table = pa.Table.from_batches(held) if held else None
+            held.clear()
+            for at in range(0, table.num_rows if table is not None else 0, rows):
+                yield table.slice(at, rows).to_pandas(types_mapper={pa.int64(): pd.Int64Dtype()}.get)
+
         def parts():
             for batch in batches:
-                for at in range(0, batch.num_rows, rows):
-                    yield batch.slice(at, rows).to_pandas(types_mapper={pa.int64(): pd.Int64Dtype()}.get)
+                held.append(batch)
+                if sum(b.num_rows for b in held) >= gather:
+                    yield from slices()
+            yield from slices()
 
         for out in fn(parts()):
             yield pa.RecordBatch.from_pandas(out, schema=schema, preserve_index=False)
+        release_memory()
 
     return df.mapInArrow(run, ddl)

@@ -20,6 +20,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera.llm.common import small_batches
+
 _TOKEN = re.compile(
     r"<!--(?:.*?-->|.*)|<[!?][^>]*>|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<(?P<end2>/?)(?P<tag2>[a-zA-Z][^\s/>]*)(?P<attrs2>[^>]*)>", re.S
 )
@@ -273,6 +275,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     A null or empty html, and a page without an article, give the empty string. Null ids and urls stay null; repeated rows
     give equal rows; an empty table gives none. Other columns are not read.
     """
+    small_batches(pages.sparkSession)
     rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), main_text_udf(F.col(html_col)).alias("text"))
     return rows.withColumn("n_chars", F.length("text").cast("long"))
 

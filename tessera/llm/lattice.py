@@ -8,11 +8,9 @@ left to right draws a segmentation exactly.
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 import numpy as np
 
-from tessera.llm.spans import mix
+from tessera.llm.spans import mix, powers
 
 _U = np.uint64
 #: Characters after which a unit is cut even if pieces could reach across.
@@ -20,13 +18,7 @@ MAX_UNIT = 1024
 #: Characters up to which a unit's backward sums cannot underflow.
 LONG_UNIT = 24
 _BASE = 0x9E3779B97F4A7C15
-
-
-@lru_cache(maxsize=16)
-def _powers(inverse: bool, bits: int) -> np.ndarray:
-    out = np.ones(1 << bits, _U)
-    out[1:] = _U(pow(_BASE, -1, 2**64) if inverse else _BASE)
-    return np.multiply.accumulate(out)
+_BACK = pow(_BASE, -1, 2**64)
 
 
 def code_points(text: str) -> np.ndarray:
@@ -37,12 +29,12 @@ class Sums:
     """Prefix sums over code points: the hash of any stretch of them."""
 
     def __init__(self, points: np.ndarray):
-        self.bits = max(12, int(len(points)).bit_length())
-        values = mix(points.astype(_U) + _U(1)) * _powers(False, self.bits)[: len(points)]
+        self.n = len(points)
+        values = mix(points.astype(_U) + _U(1)) * powers(_BASE, self.n)[: self.n]
         self.sums = np.concatenate([np.zeros(1, _U), np.cumsum(values, dtype=_U)])
 
     def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        return (self.sums[end] - self.sums[start]) * _powers(True, self.bits)[start]
+        return (self.sums[end] - self.sums[start]) * powers(_BACK, self.n)[start]
 
 
 class Vocabulary:

@@ -12,8 +12,8 @@ import numpy as np
 
 _U = np.uint64
 #: Words that are hashed at once; longer texts are taken in pieces that overlap.
-PIECE_WORDS = 200_000
-PIECE_BYTES = 1 << 21
+PIECE_WORDS = 50_000
+PIECE_BYTES = 1 << 19
 
 
 @lru_cache(maxsize=4)
@@ -24,12 +24,16 @@ def _base(which: int) -> tuple[np.ndarray, int, int]:
     return table, base, pow(base, -1, 2**64)
 
 
-@lru_cache(maxsize=8)
-def _powers(which: int, inverse: bool, n: int) -> np.ndarray:
-    out = np.ones(n, _U)
-    _, base, back = _base(which)
-    out[1:] = _U(back if inverse else base)
-    return np.multiply.accumulate(out)
+_tables: dict[int, np.ndarray] = {}
+
+
+def powers(base: int, n: int) -> np.ndarray:
+    """At least the first n powers of base modulo 2**64; one table a base is kept, the longest asked for."""
+    if base not in _tables or len(_tables[base]) < n:
+        out = np.ones(1 << max(16, n.bit_length()), _U)
+        out[1:] = _U(base)
+        _tables[base] = np.multiply.accumulate(out)
+    return _tables[base]
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -51,12 +55,13 @@ class Words:
 
     def span(self, a: np.ndarray, b: np.ndarray, which: int = 0) -> np.ndarray:
         """The hash of words a to b, both included."""
-        size = 1 << max(16, int(len(self.bytes)).bit_length())
+        size = len(self.bytes)
+        bytes_, base, back = _base(which)
         if which not in self._sums:
-            values = _base(which)[0][self.bytes] * _powers(which, False, size)[: len(self.bytes)]
+            values = bytes_[self.bytes] * powers(base, size)[:size]
             self._sums[which] = np.concatenate([np.zeros(1, _U), np.cumsum(values, dtype=_U)])
         sums, s, e = self._sums[which], self.starts[a], self.ends[b]
-        return mix((sums[e] - sums[s]) * _powers(which, True, size)[s])
+        return mix((sums[e] - sums[s]) * powers(back, size)[s])
 
 
 def pieces(texts: list[str | None], overlap: int):

@@ -233,7 +233,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     paths = map_slices(rows.select("doc", "tag", "text"), _emit_paths, "deal long, path long, doc long, place long, kind byte")
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = paths.repartition(n, "deal").sortWithinPartitions("deal", "path", "doc", "place")
-    found = stored(map_slices(dealt, _settle_paths, "doc long, place long, branch boolean", rows=1 << 20), "paths")
+    found = stored(map_slices(dealt, _settle_paths, "doc long, place long, branch boolean", rows=1 << 20, gather=20_000), "paths")
     tag = F.shiftrightunsigned("place", _START_BITS + _N_BITS)
 
     def by_text(places: DataFrame) -> DataFrame:
