@@ -228,7 +228,7 @@ def row_key(seed: int, key: int | None, text: str) -> int:
 
 
 def sample_encode(
-    docs: DataFrame, k: int = K, seed: int = SEED, alpha: float = ALPHA, model_file: str | None = None, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (), digest: bool = False
+    docs: DataFrame, k: int = K, seed: int = SEED, alpha: float = ALPHA, model_file: str | None = None, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (), digest: bool = False, batch_chars: int = BATCH_CHARS
 ) -> DataFrame:
     """(doc_id, sample, ids, log_prob, perturbed, inclusion[, kept columns]): up to k distinct segmentations of every whole text.
 
@@ -238,7 +238,8 @@ def sample_encode(
     where no piece has it. An empty table gives no rows. ``keep`` names columns carried along; others are not read.
 
     With ``digest`` the ids stay in the worker that drew them: in their place come n_pieces, ids_crc32 (of the ids as
-    little-endian 32-bit integers) and decoded_sha256 (of the text that they decode to).
+    little-endian 32-bit integers) and decoded_sha256 (of the text that they decode to). ``batch_chars`` trades memory for time: more texts
+    share one lattice of their units.
     """
     path = model_file or public_tokenizers.path(MODEL)
 
@@ -252,7 +253,7 @@ def sample_encode(
             at = 0
             while at < len(texts):
                 upto, load = at + 1, len(texts[at])
-                while upto < len(texts) and load + len(texts[upto]) <= BATCH_CHARS:
+                while upto < len(texts) and load + len(texts[upto]) <= batch_chars:
                     load += len(texts[upto])
                     upto += 1
                 found = _sample([f" {t}" if t else "" for t in texts[at:upto]], keys[at:upto], vocabulary, k)
