@@ -11,7 +11,8 @@ from tessera.llm.common import stored
 def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 60) -> DataFrame:
     """(node, root) for every node of an edge: root is the component's smallest node (nodes are longs).
 
-    Rounds end when every edge leads to a root; each round's edges are a written table. No edges: no rows.
+    Rounds end when every edge leads to a root and every other node has one edge; each round's edges are a written table.
+    No edges: no rows.
     """
     pairs = stored(_ordered(edges.select(F.col(a).alias("u"), F.col(b).alias("v"))), "edges")
     for _ in range(max_rounds):
@@ -24,8 +25,9 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 6
         tied = large.join(small, "u")
         after = tied.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(tied.select("u", F.col("m").alias("v")))
         after = stored(_ordered(after), "edges")
-        # Done when no node is both below another and above one.
-        if after.select("v").join(after.select(F.col("u").alias("v")), "v", "left_semi").isEmpty():
+        # Done when no node hangs from two others, and none is both below another and above one.
+        forked = after.groupBy("u").agg(F.count("*").alias("n")).where("n > 1")
+        if forked.isEmpty() and after.select("v").join(after.select(F.col("u").alias("v")), "v", "left_semi").isEmpty():
             pairs = after
             break
         pairs = after

@@ -1,3 +1,5 @@
+import random
+
 import numpy as np
 import xxhash
 from pyspark.sql import functions as F
@@ -69,3 +71,18 @@ def test_nulls_ties_and_extra_columns(spark):
     a, q = (simhash.fingerprint(t) for t in ("a b c d", "q r s t u"))
     assert got == sorted([("1", 0, 1), ("2", 0, 1), ("None", 0, 1), ("4", a, 4), ("4", a, 4), ("None", q, None)])
     assert simhash.near_duplicates(docs.where(F.lit(False))).count() == 0
+
+
+def test_chains_stay_whole_in_any_order(spark):
+    beside = [(1000 + 2 * i, 1001 + 2 * i) for i in range(30)]
+    # Orders that split when rounds ended while a node still hung from two roots.
+    tables = [([(2, 3), (3, 4), (4, 5), (5, 1)], 5)]
+    for size, seed in ((5, 3), (6, 21), (8, 10), (12, 47)):
+        nodes = list(range(1, size + 1))
+        random.Random(seed).shuffle(nodes)
+        tables.append((list(zip(nodes, nodes[1:])), size))
+    for links, size in tables:
+        for more in ([], beside):
+            edges = spark.createDataFrame(links + more, "a long, b long")
+            got = {r.node: r.root for r in simhash.components(edges).collect()}
+            assert got == {i: 1 for i in range(1, size + 1)} | {n: a for a, b in more for n in (a, b)}
