@@ -113,13 +113,13 @@ def attribution(flagged: DataFrame, index: DataFrame, id_col: str, text: Column,
     return counted.join(index, "gram").groupBy(id_col, "benchmark").agg(F.sum("times").alias("hits"))
 
 
-def sensitivity(docs: DataFrame, items: DataFrame, id_col: str, text: Column, item_text: Column, sizes=(32, 50, 64), strides=(1, 8), thresholds=(1, 2, 5, 10, 20, 50)) -> DataFrame:
+def sensitivity(docs: DataFrame, items: DataFrame, id_col: str, text: Column, item_text: Column, sizes=(32, 50, 64), strides=(1, 8), thresholds=(1, 2, 5, 10, 20, 50), cap: int | None = CAP_CHARS) -> DataFrame:
     """(gram, stride, docs, at_least_k...) for each size and stride: how many documents reach each number of hits."""
     out = None
     for n in sizes:
         index = gram_index(items, item_text, F.lit("all"), n)
         for stride in strides:
-            hits = window_hits(docs, index, id_col, text, n, stride)
+            hits = window_hits(docs, index, id_col, text, n, stride, cap)
             row = hits.agg(F.count("*").alias("docs"), *[F.count_if(F.col("hits") >= k).alias(f"at_least_{k}") for k in thresholds])
             row = row.select(F.lit(n).alias("gram"), F.lit(stride).alias("stride"), "*")
             out = row if out is None else out.unionByName(row)

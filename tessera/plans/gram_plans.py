@@ -22,11 +22,11 @@ def _index(spark, sf_dir):
 
 def _hits(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
-    return ngrams.window_hits(docs, _index(spark, sf_dir), "doc_id", F.col("text")).where(F.col("hits") >= ngrams.MIN_HITS)
+    return ngrams.window_hits(docs, _index(spark, sf_dir), "doc_id", F.col("text"), cap=None).where(F.col("hits") >= ngrams.MIN_HITS)
 
 
 def char_ngrams(spark, sf_dir):
-    grams = ngrams._hash_udf(ngrams.N, ngrams.STRIDE, False)(ngrams.capped_form(F.col("text")))
+    grams = ngrams._hash_udf(ngrams.N, ngrams.STRIDE, False)(ngrams.capped_form(F.col("text"), None))
     return table(spark, sf_dir, "documents").select("doc_id", grams.alias("g")).select("doc_id", F.size("g").alias("windows"), F.size(F.array_distinct("g")).alias("different"))
 
 
@@ -41,18 +41,18 @@ def decon_hits(spark, sf_dir):
 def decon_attribution(spark, sf_dir):
     """Of each flagged document the benchmark with the most windows (of equals the first by name), and all its windows."""
     flagged = table(spark, sf_dir, "documents").join(_hits(spark, sf_dir).select("doc_id"), "doc_id", "left_semi")
-    by = ngrams.attribution(flagged, _index(spark, sf_dir), "doc_id", F.col("text"))
+    by = ngrams.attribution(flagged, _index(spark, sf_dir), "doc_id", F.col("text"), cap=None)
     best = F.min_by("benchmark", F.struct(-F.col("hits"), F.col("benchmark")))
     return by.groupBy("doc_id").agg(best.alias("benchmark"), F.max("hits").alias("hits"), F.sum("hits").alias("all_hits"))
 
 
 def decon_sensitivity(spark, sf_dir):
-    return ngrams.sensitivity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), "doc_id", F.col("text"), F.col("text"), sizes=(32, 64))
+    return ngrams.sensitivity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), "doc_id", F.col("text"), F.col("text"), sizes=(32, 64), cap=None)
 
 
 def _near(spark, sf_dir):
     docs = hashed(spark, sf_dir)
-    return dedup.near_duplicates(dedup.exact_survivors(docs, "doc_sha256", "doc_id"), "doc_id", F.col("text"))
+    return dedup.near_duplicates(dedup.exact_survivors(docs, "doc_sha256", "doc_id"), "doc_id", F.col("text"), cap=None)
 
 
 def near_dup(spark, sf_dir):

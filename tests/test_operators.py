@@ -8,6 +8,7 @@ from tessera.functions import rules
 from tessera.functions import text as t
 from tessera.operators import audit, budget, dedup, ngrams
 from tessera.operators.prefix import running_sum
+from tessera.plans import gram_plans
 from tessera.sources import sinks, tables
 from tessera.streaming.incremental import new_documents, running_accounts
 
@@ -157,3 +158,21 @@ def test_intake_reads_each_file_once(spark, tmp_path):
     assert run() == ["a", "b", "c"]
     counts = running_accounts(spark, folder, schema, F.when(F.col("text") == "a", "is_a"), f"{tmp_path}/acc", f"{tmp_path}/acc-state")
     assert {r.reason: r.documents for r in counts.collect()} == {"is_a": 2, "kept": 3}
+
+
+def test_queries_read_whole_texts(spark, tmp_path):
+    rng = random.Random(6)
+    filler = lambda size: " ".join(str(rng.randint(10**6, 10**7)) for _ in range(size // 8))[: size - 1] + "."
+    bench, shared = "passage " * 3 + filler(200), filler(300_000)
+    texts = {1: filler(41_000) + bench, 2: filler(40_000) + shared, 3: filler(40_000) + shared, 4: filler(500)}
+    rows = [(i, s, "en", "web", len(s)) for i, s in texts.items()]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(0, bench)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    run = lambda name: gram_plans.QUERIES[name](spark, str(tmp_path)).collect()
+    assert {r.doc_id: r.windows for r in run("char_ngrams")} == {i: (len(s) - 64) // 8 + 1 for i, s in texts.items()}
+    assert [r.doc_id for r in run("decon_hits")] == [1]
+    assert [(r.doc_id, r.benchmark, r.all_hits) for r in run("decon_attribution")] == [(1, "bench0", len(bench) - 63)]
+    assert {r.at_least_1 for r in run("decon_sensitivity")} == {1}
+    assert [tuple(r) for r in run("near_dup")] == [(3, 2)]
+    assert len(run("removal_list")) == 2
+    assert sum(r.documents for r in run("apply_removal")) == 2
