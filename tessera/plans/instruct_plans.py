@@ -11,6 +11,7 @@ from tessera.operators import ngrams
 from tessera.sources.tables import table
 
 MIN_OUTPUT = 8
+#: Of the SQL alone.
 CAP = 20_000
 #: Dealt to pairs by conversation, in the place of a licence and a rating column.
 LICENCES = ("cc-by-4.0", "mit", "cc-by-nc-4.0", "Apache-2.0")
@@ -38,7 +39,7 @@ def fates(spark, sf_dir):
     ]
     rows = rules.mark_repeats(rows.withColumn("early", rules.first_rule(before)), "doc_sha256", "place", F.col("early").isNull(), "again")
     index = ngrams.gram_index(table(spark, sf_dir, "benchmark"), F.col("text"), F.lit("all"))
-    hits = ngrams.window_hits(rows, index, "place", F.col("text"), stride=1, cap=CAP)
+    hits = ngrams.window_hits(rows, index, "place", F.col("text"), stride=1, cap=None)
     rows = rows.join(hits, "place")
     late = [("dropped_dup", F.col("again")), ("dropped_decon", F.col("hits") >= 1), ("kept_heldout", t.is_heldout(F.col("doc_sha256")))]
     return rows.withColumn("fate", F.coalesce("early", rules.first_rule(late), F.lit("kept_train")))

@@ -8,7 +8,7 @@ from tessera.functions import rules
 from tessera.functions import text as t
 from tessera.operators import audit, budget, dedup, ngrams
 from tessera.operators.prefix import running_sum
-from tessera.plans import gram_plans
+from tessera.plans import gram_plans, instruct_plans
 from tessera.sources import sinks, tables
 from tessera.streaming.incremental import new_documents, running_accounts
 
@@ -176,3 +176,16 @@ def test_queries_read_whole_texts(spark, tmp_path):
     assert [tuple(r) for r in run("near_dup")] == [(3, 2)]
     assert len(run("removal_list")) == 2
     assert sum(r.documents for r in run("apply_removal")) == 2
+
+
+def test_answers_are_decontaminated_whole(spark, tmp_path):
+    rng = random.Random(7)
+    filler = lambda size: " ".join(str(rng.randint(10**6, 10**7)) for _ in range(size // 8))
+    bench = filler(200)
+    answers = {1: filler(21_000) + " " + bench, 2: filler(21_000)}
+    rows = [(i, k, role, s) for i, answer in answers.items() for k, (role, s) in enumerate((("user", f"question {i}"), ("assistant", answer)))]
+    rows = [(28 * i + 4, *rest) for i, *rest in rows]  # an allowed licence and rating
+    spark.createDataFrame(rows, "conv_id long, turn int, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    spark.createDataFrame([(0, bench)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = {r.conv_id: r.fate for r in instruct_plans.sft_fate(spark, str(tmp_path)).collect()}
+    assert got[32] == "dropped_decon" and got[60] in ("kept_train", "kept_heldout")
