@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 PREFIX = 3
 
@@ -47,13 +49,33 @@ def corpus_audit(df: DataFrame, digest: str, ratio: str, flags: Mapping[str, Col
 def flat_fingerprint(df: DataFrame, digest: str, groups: list[str], most: int = 100_000) -> DataFrame:
     """(groups, documents, fingerprint): SHA-256 of the sorted digests in one string, for sets of a known size.
 
-    A set of more than ``most`` documents is refused; ``tree_fingerprint`` has no bound.
+    A set of more than ``most`` documents is refused; ``streamed_fingerprint`` and ``tree_fingerprint`` have no bound.
     """
     sized = df.groupBy(*groups).agg(F.count("*").alias("documents"), F.collect_list(digest).alias("_all"))
     checked = F.when(F.col("documents") > most, F.raise_error(F.lit("too many documents for a flat fingerprint"))).otherwise(F.sha2(F.array_join(F.array_sort("_all"), ""), 256))
     return sized.select(*groups, "documents", checked.alias("fingerprint"))
 
 
+def streamed_fingerprint(df: DataFrame, digest: str, groups: list[str]) -> DataFrame:
+    """(groups, documents, fingerprint): as flat_fingerprint, for sets of any size.
+
+    Digests are counted and sorted in ranges; the driver feeds them to a SHA-256 of each group, range after range, so
+    neither it nor a task holds more than a range or two.
+    """
+    lines = df.groupBy(*groups, F.col(digest).alias("_d")).agg(F.count("*").alias("_n")).orderBy(*groups, "_d")
+    found = [] if groups else [[(), 0, hashlib.sha256()]]
+    for line in lines.toLocalIterator(prefetchPartitions=True):
+        *key, one, left = line
+        if not found or tuple(key) != found[-1][0]:
+            found.append([tuple(key), 0, hashlib.sha256()])
+        found[-1][1] += left
+        while one is not None and left > 0:
+            found[-1][2].update(one.encode() * min(left, 10_000))
+            left -= 10_000
+    schema = T.StructType([*[df.schema[g] for g in groups], T.StructField("documents", T.LongType()), T.StructField("fingerprint", T.StringType())])
+    return df.sparkSession.createDataFrame([(*key, n, sha.hexdigest()) for key, n, sha in found], schema)
+
+
 def tree_fingerprint(df: DataFrame, digest: str, groups: list[str], prefix: int = PREFIX) -> DataFrame:
     """(groups, documents, fingerprint): digests are hashed by their first hex digits, and these hashes in order.
 

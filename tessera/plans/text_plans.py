@@ -48,7 +48,7 @@ def set_fingerprint(spark, sf_dir):
 
 
 def heldout_fingerprint(spark, sf_dir):
-    return audit.flat_fingerprint(hashed(spark, sf_dir).where(t.is_heldout(F.col("doc_sha256"))), "doc_sha256", ["lang"])
+    return audit.streamed_fingerprint(hashed(spark, sf_dir).where(t.is_heldout(F.col("doc_sha256"))), "doc_sha256", ["lang"])
 
 
 def top_domains(spark, sf_dir):

@@ -1,3 +1,4 @@
+import hashlib
 import random
 
 import pytest
@@ -8,7 +9,7 @@ from tessera.functions import rules
 from tessera.functions import text as t
 from tessera.operators import audit, budget, dedup, ngrams
 from tessera.operators.prefix import running_sum
-from tessera.plans import gram_plans, instruct_plans
+from tessera.plans import gram_plans, instruct_plans, text_plans
 from tessera.sources import sinks, tables
 from tessera.streaming.incremental import new_documents, running_accounts
 
@@ -189,3 +190,16 @@ def test_answers_are_decontaminated_whole(spark, tmp_path):
     spark.createDataFrame([(0, bench)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     got = {r.conv_id: r.fate for r in instruct_plans.sft_fate(spark, str(tmp_path)).collect()}
     assert got[32] == "dropped_decon" and got[60] in ("kept_train", "kept_heldout")
+
+
+def test_streamed_fingerprints_have_no_bound(spark, monkeypatch):
+    rows = [(random.Random(i).choice(["x", "y", None]), None if i % 50 == 0 else f"{i % 90:064x}") for i in range(300)]
+    a = spark.createDataFrame(rows, "g string, h string")
+    for groups in ([], ["g"]):
+        for df in (a, a.limit(0)):
+            got, want = (sorted(map(str, f(df, "h", groups).collect())) for f in (audit.streamed_fingerprint, audit.flat_fingerprint))
+            assert got == want
+    many = [f"{i:064x}" for i in range(100_001)]
+    held = spark.range(100_001).select(F.lit("en").alias("lang"), F.lpad(F.lower(F.hex("id")), 64, "0").alias("doc_sha256"))
+    monkeypatch.setattr(text_plans, "hashed", lambda *_: held)
+    assert [tuple(r) for r in text_plans.heldout_fingerprint(spark, "").collect()] == [("en", 100_001, hashlib.sha256("".join(many).encode()).hexdigest())]
