@@ -4,7 +4,8 @@ Text blocks are grouped by their root-to-leaf tag path (tags with their classes)
 the punctuation per block are taken over the page and fused with the share of its text that stands outside links. The
 values are smoothed along the page, and blocks above a threshold mark where the content lies. The element that
 holds it bounds the article: blocks within it count unless their path leads through something that is no content by
-its name, such as a menu, a form, an advert or reader comments.
+its name, such as a menu, a form, an advert or reader comments. A name or a form does not bar what holds the article,
+and of what has an ambiguous name the values decide.
 """
 
 from __future__ import annotations
@@ -36,24 +37,28 @@ CLOSES_P = frozenset(
 )
 CLOSES_SAME = {"li": ("li", ("ul", "ol", "menu")), "dt": ("dt dd", ("dl",)), "dd": ("dt dd", ("dl",)), "tr": ("tr td th", ("table",)), "td": ("td th", ("tr", "table")), "th": ("td th", ("tr", "table"))}
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
-NO_CONTENT_TAGS = frozenset("nav header footer aside form button dialog menu fieldset legend head".split())
-NO_CONTENT_ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search toolbar".split())
-#: Parts of class names and ids that name what is no article.
+NO_CONTENT_TAGS = frozenset("nav header footer aside button dialog menu fieldset legend head".split())
+NO_CONTENT_ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog menu menubar navigation search toolbar".split())
+#: Class names and ids, and their first and last parts, that name what is no article.
 NO_CONTENT_NAMES = frozenset(
     """ad ads advert adverts advertisement advertising adbox adslot sponsor sponsored promo promotion banner
     nav navbar navigation menu submenu breadcrumb breadcrumbs pagination pager toc toolbar topbar
     header masthead footer colophon sidebar sidenav aside rail widget widgets
-    cookie cookies consent gdpr notice notices alert popup modal overlay toast disclaimer
+    cookie cookies consent gdpr alert popup modal overlay toast disclaimer
     newsletter subscribe subscription signup login signin register paywall
-    share sharing social follow related recommended recommendations trending popular
-    comment comments commentlist disqus reply replies respond discussion feedback
-    search searchbox form copyright legal skip hidden""".split()
+    share sharing recommended recommendations trending popular
+    comment comments commentlist disqus reply replies respond feedback
+    searchbox form copyright hidden""".split()
 )
+#: Of these, what names readers' texts, which may be most of a page.
+READERS_NAMES = frozenset("comment comments commentlist disqus reply replies respond".split())
+#: Names of menus and boxes and of parts of articles alike.
+AMBIGUOUS_NAMES = frozenset("discussion follow legal notice notices related search skip social".split())
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 _PART = re.compile(r"[a-z]+")
 
 
-@dataclass
+@dataclass(eq=False)
 class Element:
     tag: str
     label: str
@@ -61,6 +66,7 @@ class Element:
     barred: bool
     landmark: bool
     depth: int
+    named: str = ""
     value: float = 0.0
 
 
@@ -77,24 +83,82 @@ def _attributes(raw: str) -> dict[str, str]:
     return {m[1].lower(): html.unescape(m[2] or m[3] or m[4] or "") for m in _ATTR.finditer(raw)} if raw and not raw.isspace() else {}
 
 
-def _names_no_content(names: str) -> bool:
+def _naming(names: str) -> str:
+    """What the names say of an element: readers, none (no content), doubtful or nothing."""
+    said = set()
     for token in names.lower().split():
         parts = _PART.findall(token)
-        if parts and parts[0] not in ("has", "with", "no", "is", "without") and not NO_CONTENT_NAMES.isdisjoint(parts):
-            return True
-    return False
+        if not parts or not {"has", "with", "no", "is", "without"}.isdisjoint(parts):
+            continue
+        if not READERS_NAMES.isdisjoint((parts[0], parts[-1])):
+            return "readers"
+        if not NO_CONTENT_NAMES.isdisjoint((parts[0], parts[-1])):
+            said.add("none")
+        elif not (NO_CONTENT_NAMES | AMBIGUOUS_NAMES).isdisjoint(parts):
+            said.add("doubtful")
+    return "none" if "none" in said else "doubtful" if said else ""
 
 
 def _element(tag: str, raw: str, parent: Element | None) -> Element:
     attrs = _attributes(raw)
-    names = f"{attrs.get('class', '')} {attrs.get('id', '')}"
+    # A heading's id is the place that links lead to.
+    names = attrs.get("class", "") if tag in HEADINGS else f"{attrs.get('class', '')} {attrs.get('id', '')}"
     role = attrs.get("role", "").lower()
     landmark = tag in ("article", "main") or role in ("main", "article")
     barred = tag in NO_CONTENT_TAGS or role in NO_CONTENT_ROLES or "hidden" in attrs or attrs.get("aria-hidden") == "true" or bool(_HIDDEN.search(attrs.get("style", "")))
-    if tag not in ("html", "body", "main") and _names_no_content(names):
-        barred = True
+    named = "" if tag in ("html", "body", "main") else _naming(names)
+    if named in ("", "doubtful") and (tag == "form" or role == "form"):
+        named = "none"
+    if named == "doubtful" and tag in HEADINGS:
+        named = ""
     label = tag + "".join(sorted(f".{c}" for c in attrs.get("class", "").split()))
-    return Element(tag, label, parent, barred or (parent is not None and parent.barred), landmark, parent.depth + 1 if parent else 0)
+    return Element(tag, label, parent, barred or (parent is not None and parent.barred), landmark, parent.depth + 1 if parent else 0, named)
+
+
+def _bar_named(found: list[Block]) -> None:
+    """Bars what is no content by its name or a form, but not what holds the article or most of the values.
+
+    Outer elements come first. As long as no landmark stands free, one within an element frees it.
+    """
+    every = {id(e): e for b in found for e in _ancestors(b.at)}
+    inner = sorted(every.values(), key=lambda e: e.depth)
+    named = [e for e in inner if e.named in ("none", "readers") and not e.barred]
+    if not named:
+        return
+    # Values of all text, and of that which is not readers'.
+    held, own = dict.fromkeys(every, 0.0), dict.fromkeys(every, 0.0)
+    for b, value in zip(found, fused_values(found), strict=True):
+        readers = False
+        for e in _ancestors(b.at):
+            readers = readers or e.named == "readers"
+            held[id(e)] += value * len(b.text)
+            own[id(e)] += 0.0 if readers else value * len(b.text)
+    bars = {id(e) for e in named}
+    marks = [e for e in inner if e.landmark and held[id(e)] > 0]
+
+    def free(e: Element) -> bool:
+        return not any(id(x) in bars for x in _ancestors(e))
+
+    def widest() -> Element | None:
+        return max((m for m in marks if free(m)), key=lambda m: held[id(m)], default=None)
+
+    scope = widest()
+    for e in named:
+        if e.parent is not None and not free(e.parent):
+            continue
+        if e.named == "readers":
+            # An article with such a name: no other stands outside readers' texts, and little else is on the page.
+            others = (m for m in marks if e not in _ancestors(m) and not any(x.named == "readers" for x in _ancestors(m.parent)))
+            article = scope is None and e.landmark and held[id(e)] > 2 * own[id(inner[0])] and not any(others)
+        else:
+            clear = (m for m in marks if m is not e and e in _ancestors(m) and not any(id(x) in bars for x in _ancestors(m, e)))
+            most = own[id(e)] * 2 > own[id(scope or inner[0])]
+            article = (scope is None and any(clear)) or (most and (scope is None or scope in _ancestors(e)))
+        if article:
+            bars.discard(id(e))
+            scope = widest()
+    for e in inner:
+        e.barred = e.barred or id(e) in bars or (e.parent is not None and e.parent.barred)
 
 
 def blocks(page: str) -> list[Block]:
@@ -183,6 +247,7 @@ def blocks(page: str) -> list[Block]:
             continue
         stack.append(_element(tag, raw_attrs, stack[-1]))
     close()
+    _bar_named(found)
     return found
 
 
@@ -208,8 +273,8 @@ def fused_values(found: list[Block], radius: int = 2) -> list[float]:
     return out
 
 
-def _ancestors(e: Element) -> Iterator[Element]:
-    while e is not None:
+def _ancestors(e: Element, below: Element | None = None) -> Iterator[Element]:
+    while e is not below:
         yield e
         e = e.parent
 
@@ -249,6 +314,16 @@ def main_text(page: str | None, share: float = 0.6, level: float = 0.5) -> str:
                 break
             here = top
         roots = [here]
+    # The text under an outermost element of a doubtful name in the article, and what of it is chosen.
+    doubtful: dict[int, list[int]] = {}
+    under: dict[int, int] = {}
+    for i, b in enumerate(found):
+        inside = [e for e in _ancestors(b.at, roots[0]) if e.named == "doubtful"] if roots[0] in _ancestors(b.at) and not b.at.barred else []
+        if inside:
+            under[i] = id(inside[-1])
+            sizes = doubtful.setdefault(under[i], [0, 0])
+            sizes[0] += len(b.text)
+            sizes[1] += len(b.text) * (i in chosen)
     out = []
     for i, b in enumerate(found):
         if not any(r in _ancestors(b.at) for r in roots):
@@ -258,6 +333,8 @@ def main_text(page: str | None, share: float = 0.6, level: float = 0.5) -> str:
             inner = next((e for e in _ancestors(b.at) if e.barred and (e.parent is None or not e.parent.barred)), None)
             if not (b.at.tag in HEADINGS and inner is not None and inner.tag == "header" and within_mark):
                 continue
+        elif i in under and doubtful[under[i]][1] * 2 < doubtful[under[i]][0]:
+            continue
         elif not within_mark and i not in chosen and b.at.tag not in HEADINGS and b.linked * 2 > len(b.text):
             continue
         out.append(b.text)

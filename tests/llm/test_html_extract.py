@@ -52,6 +52,31 @@ def test_what_is_left_out():
         assert h.main_text(wrapped) == "Title " + WANT, extra
 
 
+def test_names_do_not_bar_the_article():
+    text = "".join(f"<p>{p}</p>" for p in BODY)
+    nav = "<nav><a href='/'>Home</a></nav><div class='sidebar'><p>Latest: this, that, and the other.</p></div>"
+    comments = "<div class='comments'>" + "<article><p>I read it, twice. It was good, very good, I think, and so on.</p></article>" * 9 + "</div>"
+    shapes = [
+        f"<article class='post category-social'>{text}</article>",
+        f"<div class='content-with-sidebar'><article>{text}</article></div>",
+        f"<div class='content-with-sidebar'>{text}</div>",
+        f"<div class='search-results-page'><article>{text}</article></div>",
+        f"<form action='x' id='aspnetForm'><div>{nav}<div id='content'>{text}</div></div></form>",
+        f"<form>{nav}<article>{text}</article></form>",
+        f"<div class='popup'>{nav}<article>{text}</article></div>",
+        f"<article class='post comments-open'>{text}</article>",
+        f"<div id='page' class='widget'>{text}</div>",
+    ]
+    for shape in shapes:
+        for after in ("", comments):
+            assert h.main_text(page(inside=shape, after=after)) == WANT, shape
+    inner = f"<article>{text}<h2 id='related-work'>Related work</h2>{text}<section id='discussion'><h2>Discussion</h2>{text}</section></article>"
+    assert h.main_text(page(inside=inner)) == f"{WANT} Related work {WANT} Discussion {WANT}"
+    links = "<div class='related'><h3>Related</h3><ul><li><a href='/1'>One, two.</a></li><li><a href='/2'>Three, four.</a></li></ul></div>"
+    small = "<form><p>Your mail, please.</p></form>"
+    assert h.main_text(page(inside=f"<article>{text}{links}{small}</article>")) == WANT
+
+
 def test_white_space_references_and_bad_markup():
     text = "<article><h1>A &lt;b&gt; title</h1><p><b>One<br>two\n three&nbsp;four<p>in<i>li</i>ne &#233;&eacute; <a href='x>y'>li</a><div>x < y</div></p></article>"
     assert h.main_text(text) == "A <b> title One two three four inline éé li x < y"
