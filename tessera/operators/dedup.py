@@ -10,8 +10,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.operators.ngrams import CAP_CHARS, N, STRIDE, capped_form
+from tessera.operators.ngrams import CAP_CHARS, N, capped_form
 
+#: Of near duplicates; at a larger stride an insertion of another length than its multiples changes every later window.
+STRIDE = 1
 HASHES = 32
 BANDS = 8
 PRIME = 2**31 - 1

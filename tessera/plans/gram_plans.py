@@ -51,8 +51,9 @@ def decon_sensitivity(spark, sf_dir):
 
 
 def _near(spark, sf_dir):
+    """At the stride of the SQL; the operator's own is 1, which also finds copies shifted by an insertion."""
     docs = hashed(spark, sf_dir)
-    return dedup.near_duplicates(dedup.exact_survivors(docs, "doc_sha256", "doc_id"), "doc_id", F.col("text"), cap=None)
+    return dedup.near_duplicates(dedup.exact_survivors(docs, "doc_sha256", "doc_id"), "doc_id", F.col("text"), stride=ngrams.STRIDE, cap=None)
 
 
 def near_dup(spark, sf_dir):

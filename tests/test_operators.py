@@ -111,6 +111,14 @@ def test_near_duplicates_form_a_chain(spark):
     assert [tuple(r) for r in dedup.near_duplicates(df, "i", F.col("s")).collect()] == [(5, 3)]
 
 
+def test_near_duplicates_survive_a_shift(spark):
+    rng = random.Random(8)
+    words = " ".join(str(rng.randint(10**6, 10**7)) for _ in range(300))
+    df = spark.createDataFrame([(1, words), (2, "odd " + words)], "i long, s string")
+    assert [tuple(r) for r in dedup.near_duplicates(df, "i", F.col("s")).collect()] == [(2, 1)]
+    assert dedup.near_duplicates(df, "i", F.col("s"), stride=8).count() == 0
+
+
 def test_percentiles_take_the_element_at_the_floor(spark):
     df = spark.createDataFrame([("a", v) for v in range(10)] + [("b", 7)], "g string, v long")
     got = {r.g: (r.m, r.t) for r in audit.floor_percentiles(df, "g", "v", {"m": 0.5, "t": 1.0}).collect()}
