@@ -77,7 +77,7 @@ HEADER_NAMES = frozenset("header masthead".split())
 STATES = frozenset("has with without no is open closed enabled disabled on off".split())
 
 #: What each judgement of a name does to the values below it.
-WEIGHTS = {"readers": 0.1, "none": 0.1, "header": 0.1, "doubtful": 0.5}
+WEIGHTS = {"readers": 0.1, "none": 0.1, "header": 0.1}
 LANDMARK_WEIGHT = 2.0
 #: Of all values: what articles and mains hold at least for their values alone to say what a name may weigh on.
 LANDMARK_SHARE = 0.03
@@ -328,7 +328,8 @@ def name_weights(tree: Tree, ratios: dict[int, PathSums]) -> tuple[list[float],
     """Of every element the weight of all names from the root to it, and the same without headers' names.
 
     Readers' texts may be most of a page: their names weigh as soon as prose stands outside of them. Any other name
-    does not weigh on an element that holds over half of the values (of the articles', if the page has any).
+    does not weigh on an element that holds over half of the values (of the articles', if the page has any). A doubtful
+    name weighs as much as the element's text stands in links.
     """
     n = len(tree.tag)
     fused = [ratios[tree.path[b.at]].fused() * len(b.text) for b in tree.blocks]
@@ -355,10 +356,13 @@ def name_weights(tree: Tree, ratios: dict[int, PathSums]) -> tuple[list[float],
             gain = some
             break
     held = tree.below(gain)
+    linked, chars = tree.below([min(b.linked, len(b.text)) for b in tree.blocks]), tree.below([len(b.text) for b in tree.blocks])
     weight, bare = [1.0] * n, [1.0] * n
     for e in range(1, n):
         up, said = tree.parent[e], tree.said[e]
-        factor = WEIGHTS[said] if said and (silent[e] if said == "readers" else 2 * held[e] <= held[0]) else 1.0
+        factor = WEIGHTS[said] if said in WEIGHTS and (silent[e] if said == "readers" else 2 * held[e] <= held[0]) else 1.0
+        if said == "doubtful":
+            factor = 1 - linked[e] / max(chars[e], 1)
         if marked[e] and not marked[up] and weight[up] * factor >= 1:
             factor *= LANDMARK_WEIGHT
         weight[e] = weight[up] * factor
