@@ -48,6 +48,16 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Bytes of input that one partition of a wide exchange takes, where the session's number of partitions is smaller.
+PARTITION_BYTES = 256 << 20
+
+
+def partitions_for(df: DataFrame, n_bytes: Column) -> int:
+    """How many partitions an exchange of df takes: the session's number, more where the summed bytes ask for it."""
+    total = df.agg(F.coalesce(F.sum(n_bytes.cast("long")), F.lit(0))).first()[0]
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // PARTITION_BYTES))
+
+
 def seeded_key(seed: int, column: Column) -> Column:
     """60 bits of an MD5 over seed and value: one shuffle order for Spark and for plain SQL."""
     text = F.coalesce(column.cast("string"), F.lit(""))

@@ -17,6 +17,7 @@ QUERIES = {
 
 ORACLE = {
     "op2_sharding": sharding.oracle(),
+    "op4_substring": substring.oracle(),
     "op7_warc": warc.oracle(),
     "op9_mixing": mixing.oracle(),
 }

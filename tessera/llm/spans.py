@@ -1,7 +1,8 @@
 """Hashes of word spans: one pass of numpy over the bytes of many texts.
 
 A text's words stand in one buffer, parted by single spaces, so the hash of any run of words is the difference of two
-prefix sums of byte values times powers of an odd base, shifted back by the inverse power (all modulo 2**64).
+prefix sums of byte values times powers of an odd base, shifted back by the inverse power (all modulo 2**64). Such hashes only
+deal rows and look pieces up: different words may share one, so equality is told by other means.
 """
 
 from __future__ import annotations
@@ -48,7 +49,8 @@ class Words:
 
     def __init__(self, lines: list[list[bytes]]):
         self.first = np.concatenate([[0], np.cumsum([len(x) for x in lines])]).astype(np.int64)
-        self.bytes = np.frombuffer(b" ".join([w for x in lines for w in x] + [b""]), np.uint8)
+        self.line = b" ".join([w for x in lines for w in x] + [b""])
+        self.bytes = np.frombuffer(self.line, np.uint8)
         self.ends = np.flatnonzero(self.bytes == 32)
         self.starts = np.concatenate([[0], self.ends[:-1] + 1]) if len(self.ends) else self.ends
         self._sums: dict[int, np.ndarray] = {}
