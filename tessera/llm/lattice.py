@@ -1,7 +1,8 @@
 """Piece lattices of many texts at once, as flat numpy arrays.
 
-A text is cut where no piece reaches across: before a space that follows something else, and around line feeds.
-Each different unit of a batch has its lattice built once: a node a character, an edge a piece, byte fallback where no
+A text is cut where no piece reaches across: before a space that follows something else, around line feeds, and in units
+that are long by themselves wherever no piece of the vocabulary matches across the place. No other cut is made, so a
+run that pieces cover without a gap is one unit, however long; its memory is about 350 bytes a character. Each different unit of a batch has its lattice built once: a node a character, an edge a piece, byte fallback where no
 piece matches. Backward sums over a node's edges give the probability of an edge once its node is reached, so walking from
 left to right draws a segmentation exactly.
 """
@@ -13,9 +14,7 @@ import numpy as np
 from tessera.llm.spans import mix, powers
 
 _U = np.uint64
-#: Characters after which a unit is cut even if pieces could reach across.
-MAX_UNIT = 1024
-#: Characters up to which a unit's backward sums cannot underflow.
+#: Characters up to which a unit's backward sums cannot underflow; longer ones are looked through for gaps.
 LONG_UNIT = 24
 _BASE = 0x9E3779B97F4A7C15
 _BACK = pow(_BASE, -1, 2**64)
@@ -86,6 +85,45 @@ def _slot(hashes: np.ndarray) -> np.ndarray:
     return (hashes >> _U(44)).astype(np.int64)
 
 
+def _matches(points: np.ndarray, left: np.ndarray, v: Vocabulary):
+    """(length, places, pieces) of all pieces that match, by rising length; none reaches over the left characters of a place."""
+    one = Sums(points)
+    at = np.arange(len(points))
+    for length in range(1, v.longest + 1):
+        at = at[left[at] >= length]
+        if not len(at):
+            return
+        hashes, ends, ids, maybe = v.tables[length]
+        h = one.of(at, at + length)
+        what = maybe[_slot(h)]
+        some = np.flatnonzero(what & 1)
+        if len(some):
+            k = np.minimum(np.searchsorted(hashes, h[some]), len(hashes) - 1)
+            hit = hashes[k] == h[some]
+            some, k = some[hit], k[hit]
+            hit = (ends[k, 0] == points[at[some]]) & (ends[k, 1] == points[at[some] + length - 1])
+            yield length, at[some[hit]], ids[k[hit]]
+        at = at[(what & 2) > 0]
+
+
+def _inside(start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of all characters of some units in a row: the unit and the place in it."""
+    unit = np.repeat(np.arange(len(size)), size)
+    return unit, np.arange(len(unit)) - np.repeat(np.cumsum(size) - size, size)
+
+
+def _gaps(points: np.ndarray, start: np.ndarray, size: np.ndarray, v: Vocabulary) -> np.ndarray:
+    """The places within some units that no piece reaches across: every segmentation has an end there."""
+    unit, offset = _inside(start, size)
+    place = start[unit] + offset
+    across = np.zeros(len(place) + 1, np.int64)
+    for length, here, _ in _matches(points[place], size[unit] - offset, v):
+        if length > 1:
+            across[here + 1] += 1
+            across[here + length] -= 1
+    return place[(np.cumsum(across[:-1]) == 0) & (offset > 0)]
+
+
 class Lattice:
     """The lattices of the units of some texts.
 
@@ -107,10 +145,8 @@ class Lattice:
             cut[1:n] |= (space[1:] & ~space[:-1]) | feed[1:] | feed[:-1]
         start = np.flatnonzero(cut[:n])
         size = np.diff(np.append(start, n))
-        if len(size) and size.max() > MAX_UNIT:
-            parts = -(-size // MAX_UNIT)
-            inner = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
-            start = np.repeat(start, parts) + inner * MAX_UNIT
+        if len(size) and size.max() > LONG_UNIT:
+            start = np.union1d(start, _gaps(points, start[size > LONG_UNIT], size[size > LONG_UNIT], vocabulary))
             size = np.diff(np.append(start, n))
         self.doc = np.searchsorted(first, start, side="right") - 1 if len(start) else start
         # Texts without characters share their first character with the next one; the last of them owns it.
@@ -128,49 +164,31 @@ class Lattice:
 
     def _build(self, all_points: np.ndarray, start: np.ndarray, size: np.ndarray, v: Vocabulary) -> None:
         total = int(size.sum())
-        base = np.cumsum(size) - size
-        unit = np.repeat(np.arange(len(size)), size)
-        offset = np.arange(total) - base[unit]
+        unit, offset = _inside(start, size)
         points = all_points[start[unit] + offset]
-        self.node_of = base + np.arange(len(size))
+        self.node_of = np.cumsum(size) - size + np.arange(len(size))
         node = np.arange(total) + unit
         left = size[unit] - offset
         self.last = np.zeros(total + len(size), bool)
         self.last[self.node_of + size] = True
-        one = Sums(points)
         n_nodes, wide = total + len(size), min(v.longest, int(size.max(initial=1)))
         # Row: the node an edge begins at; column: the longest edges' first, for they are the likeliest as a rule and
         # most draws end at a node's first edge.
         weight = np.zeros((n_nodes, wide))
         piece = np.empty((n_nodes, wide), np.int32)
-        at = np.arange(total)
         covered = np.zeros(total, bool)
-        for length in range(1, v.longest + 1):
-            at = at[left[at] >= length]
-            if not len(at):
-                break
-            hashes, ends, ids, maybe = v.tables[length]
-            h = one.of(at, at + length)
-            what = maybe[_slot(h)]
-            some = np.flatnonzero(what & 1)
-            if len(some):
-                k = np.minimum(np.searchsorted(hashes, h[some]), len(hashes) - 1)
-                hit = hashes[k] == h[some]
-                some, k = some[hit], k[hit]
-                hit = (ends[k, 0] == points[at[some]]) & (ends[k, 1] == points[at[some] + length - 1])
-                here, k = at[some[hit]], k[hit]
-                weight[node[here], wide - length] = v.odds[ids[k]]
-                piece[node[here], wide - length] = ids[k]
-                if length == 1:
-                    covered[here] = True
-            at = at[(what & 2) > 0]
+        for length, here, ids in _matches(points, left, v):
+            weight[node[here], wide - length] = v.odds[ids]
+            piece[node[here], wide - length] = ids
+            if length == 1:
+                covered[here] = True
         bare = np.flatnonzero(~covered)
         code = points[bare].astype(np.int64)
         n_bytes = 1 + (code > 0x7F) + (code > 0x7FF) + (code > 0xFFFF)
         weight[node[bare], wide - 1] = np.exp(v.byte_weight * n_bytes)
         piece[node[bare], wide - 1] = -code - 1
         # Backward sums, by distance from the unit's end; as plain products where no unit is long enough to underflow.
-        order = np.argsort(left.astype(np.int16), kind="stable")
+        order = np.argsort(left.astype(np.int16 if size.max(initial=0) < 1 << 15 else np.int64), kind="stable")
         long = size[unit] > LONG_UNIT
         log_beta = np.zeros(n_nodes)
         for many, logs in ((order[~long[order]], False), (order[long[order]], True)):

@@ -220,21 +220,21 @@ class _Ids:
         return self.ids[self.at[a] : self.at[z]]
 
 
-def row_key(seed: int, key: int | None, text: str) -> int:
-    """64 bits of seed and row key; a row without a key is known by its text."""
-    if key is None:
-        return xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass"), seed)
-    return xxhash.xxh64_intdigest(int(key).to_bytes(8, "little", signed=True), seed)
+def row_key(seed: int, key: int | None, text: str, turn: int = 0) -> int:
+    """64 bits of seed, row key and turn; a row without a key is known by its text. Turn 0 is that of a row without turns."""
+    data = text.encode("utf-8", "surrogatepass") if key is None else int(key).to_bytes(8, "little", signed=True)
+    return xxhash.xxh64_intdigest(data + (turn.to_bytes(8, "little") if turn else b""), seed)
 
 
 def sample_encode(
-    docs: DataFrame, k: int = K, seed: int = SEED, alpha: float = ALPHA, model_file: str | None = None, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (), digest: bool = False, batch_chars: int = BATCH_CHARS
+    docs: DataFrame, k: int = K, seed: int = SEED, alpha: float = ALPHA, model_file: str | None = None, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (), digest: bool = False, batch_chars: int = BATCH_CHARS, turn_col: str | None = None
 ) -> DataFrame:
     """(doc_id, sample, ids, log_prob, perturbed, inclusion[, kept columns]): up to k distinct segmentations of every whole text.
 
     ``sample`` counts from 0 in falling order of the perturbed value; a text of fewer segmentations than k gives them
     all, with inclusion 1. A null or empty text has one segmentation, of no pieces. Rows that repeat an id draw from the same
-    stream (equal texts, equal draws); rows without an id are keyed by their text. Any character is encoded, by bytes
+    stream (equal texts, equal draws), unless ``turn_col`` names a column of small whole numbers that tells them apart (null: 0); rows
+    without an id are keyed by their text. Any character is encoded, by bytes
     where no piece has it. An empty table gives no rows. ``keep`` names columns carried along; others are not read.
 
     With ``digest`` the ids stay in the worker that drew them: in their place come n_pieces, ids_crc32 (of the ids as
@@ -248,8 +248,9 @@ def sample_encode(
         for batch in batches:
             texts = ["" if t is None else t for t in batch["text"].tolist()]
             ids = [None if pd.isna(i) else int(i) for i in batch["doc_id"]]
-            keys = np.array([row_key(seed, i, t) for i, t in zip(ids, texts, strict=True)], dtype=_U)
-            carried = batch.drop(columns="text")
+            turns = batch["_turn"].tolist() if turn_col else [0] * len(ids)
+            keys = np.array([row_key(seed, i, t, n) for i, t, n in zip(ids, texts, turns, strict=True)], dtype=_U)
+            carried = batch.drop(columns=["text", "_turn"] if turn_col else "text")
             at = 0
             while at < len(texts):
                 upto, load = at + 1, len(texts[at])
@@ -265,8 +266,9 @@ def sample_encode(
                 yield pd.concat([carried.iloc[frame["row"]].reset_index(drop=True), frame.drop(columns="row")], axis=1)
                 at = upto
 
-    carried = docs.select(F.col(id_col).cast("long").alias("doc_id"), *[F.col(c).alias(f"kept_{c}") for c in keep], F.col(text_col).alias("text"))
-    head = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in carried.schema.fields[:-1])
+    turn = [F.coalesce(F.col(turn_col).cast("int"), F.lit(0)).alias("_turn")] if turn_col else []
+    carried = docs.select(F.col(id_col).cast("long").alias("doc_id"), *[F.col(c).alias(f"kept_{c}") for c in keep], *turn, F.col(text_col).alias("text"))
+    head = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in carried.schema.fields if f.name not in ("_turn", "text"))
     what = "n_pieces long, ids_crc32 long, decoded_sha256 string" if digest else "ids array<int>"
     return map_slices(carried, encode, f"{head}, sample int, {what}, log_prob double, perturbed double, inclusion double", rows=1000)
 

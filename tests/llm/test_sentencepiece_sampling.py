@@ -79,8 +79,59 @@ def test_draws_follow_sampling_without_replacement(vocabulary):
         assert weight[path] == pytest.approx(p[path], rel=0.15, abs=5e-3)
 
 
-def test_decoding_gives_back_every_text(vocabulary, monkeypatch):
-    monkeypatch.setattr(lattice_module, "MAX_UNIT", 100)
+def log_total(text, vocabulary):
+    """The log of the summed weights of all segmentations, one character after the other."""
+    known = {vocabulary.bytes_[i].decode(): vocabulary.weight[i] for i in range(len(vocabulary.bytes_)) if vocabulary.bytes_[i] and i >= 259}
+    sums = [0.0]
+    for z in range(1, len(text) + 1):
+        some = [sums[a] + known[text[a:z]] for a in range(max(0, z - vocabulary.longest), z) if text[a:z] in known]
+        some = some or [sums[z - 1] + vocabulary.byte_weight * len(text[z - 1].encode())]
+        top = max(some)
+        sums.append(top + math.log(sum(math.exp(x - top) for x in some)))
+    return sums[-1]
+
+
+def test_a_span_without_boundary_is_not_cut(vocabulary):
+    """5,000 characters that pieces cover without a gap, and a piece that crosses any given place."""
+    text = " " + "".join(np.random.default_rng(4).choice(list("etaoinsr"), 5_000))
+    one = Lattice([text], vocabulary)
+    assert len(one.root) < 200 and one.last.sum() == len(one.root)
+    n = 60
+    keys = np.array([s.row_key(3, i, "") for i in range(n)], np.uint64)
+    crossing, total = Counter(), log_total(text, vocabulary)
+    for some in s._sample([text] * n, keys, vocabulary, 2):
+        for ids, log_p, *_ in some:
+            pieces = [vocabulary.bytes_[i].decode() for i in ids.tolist()]
+            assert "".join(pieces) == text
+            assert log_p == pytest.approx(sum(vocabulary.weight[i] for i in ids.tolist()) - total, abs=1e-3)
+            ends = set(np.cumsum([len(p) for p in pieces]).tolist())
+            crossing.update(k for k in (1024, 2048, 3072, 4096) if k not in ends)
+    # Every 1,024th character lies within a piece in some draws.
+    assert all(crossing[k] for k in (1024, 2048, 3072, 4096))
+
+
+def test_cuts_at_gaps_change_no_probability(vocabulary, monkeypatch):
+    text = " 日本語の文章は長く続き、空白がないので一つの単位になるが、切れ目はある" + "qzx" * 9
+    total = log_total(text, vocabulary)
+    units = {}
+    for long in (4, 10_000):
+        monkeypatch.setattr(lattice_module, "LONG_UNIT", long)
+        units[long] = len(Lattice([text], vocabulary).root)
+        for ids, log_p, *_ in s._sample([text], np.array([9], np.uint64), vocabulary, 4)[0]:
+            weight = sum(vocabulary.weight[i] if i >= 259 else vocabulary.byte_weight for i in ids.tolist())
+            assert log_p == pytest.approx(weight - total, abs=1e-6)
+    assert units[4] > units[10_000] == 1
+
+
+def test_turns_draw_anew(spark):
+    text = "the quick brown fox jumps over the lazy dog and goes on to the next field, " * 5
+    docs = spark.createDataFrame([(1, text, 1), (1, text, 2), (1, text, None), (1, text, 0), (None, text, 1), (None, text, 2)], "doc_id long, text string, turn int")
+    got = s.sample_encode(docs, turn_col="turn", keep=("turn",)).collect()
+    first = Counter(tuple(r.ids) for r in got if r["sample"] == 0)
+    assert sorted(first.values()) == [1, 1, 1, 1, 2]  # null and 0 are one turn
+
+
+def test_decoding_gives_back_every_text(vocabulary):
     keys = np.arange(len(HARD)).astype(np.uint64)
     for text, some in zip(HARD, s._sample([f" {t}" if t else "" for t in HARD], keys, vocabulary, 3)):
         assert len({tuple(ids.tolist()) for ids, *_ in some}) == len(some) >= 1
