@@ -28,6 +28,8 @@ def shared_root(spark: SparkSession) -> str:
         known = spark.sparkContext.getCheckpointDir()
         if known:
             return known
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         root = tempfile.mkdtemp(prefix="tessera-shared-")
         atexit.register(shutil.rmtree, root, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", f"file://{root}")
@@ -64,8 +66,13 @@ def seeded_key(seed: int, column: Column) -> Column:
     return F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), text)), 1, 15), 16, 10).cast("long")
 
 
-def sql_seeded_key(seed: int, column: str) -> str:
-    return f"('0x' || substr(md5('{seed}:' || coalesce({column}::varchar, '')), 1, 15))::bigint"
+def row_name(id_col: str, text_col: str) -> Column:
+    """What a row is shuffled by: its id, or a hash of its text where it has none, so that such rows spread too."""
+    return F.coalesce(F.col(id_col).cast("string"), F.concat(F.lit("t"), F.md5(F.coalesce(F.col(text_col), F.lit("")))))
+
+
+def sql_seeded_key(seed: int, id_col: str, text_col: str) -> str:
+    return f"('0x' || substr(md5('{seed}:' || coalesce({id_col}::varchar, 't' || md5(coalesce({text_col}, '')))), 1, 15))::bigint"
 
 
 def named(column: str) -> Column:

@@ -10,12 +10,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import WORD, named, seeded_key, sql_seeded_key, stored
+from tessera.llm.common import WORD, named, row_name, seeded_key, sql_seeded_key, stored
 from tessera.llm.ranking import buckets_for, key_bucket, running
 
 SEED = 29
 WEIGHTS = (5, 2, 1)
 MAX_EPOCHS = 3
+#: What tells rows of one source and key apart.
+ROW = ("doc_id", "size", "text_hash")
 
 
 def source_targets(sizes: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS) -> DataFrame:
@@ -23,7 +25,8 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOC
 
     Targets share the total of all sizes by weight; none exceeds max_epochs times its size, and what it cannot
     take is shared again by weight. Solved at once: sources fill up in the order of limit / weight, so the level of
-    the rest follows from the sums before each. One row a source; no rows without sources.
+    the rest follows from the sums before each. One row a source; no rows without sources. The
+    windows over all sources run in one task: meant for sources as names of collections (up to a few million), not of documents.
     """
     # By code point, null last; 'n' for null sorts before 's', so nullness is its own sort column.
     place = Window.partitionBy().orderBy(F.col("source").isNull(), F.col("source"))
@@ -52,40 +55,47 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOC
     return rows.select("stratum", "source", "source_size", target.alias("target"))
 
 
+def text_hash(text_col: str) -> F.Column:
+    return F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("text_hash")
+
+
 def fair_mix(docs: DataFrame, size: F.Column | None = None, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: int = SEED, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text") -> DataFrame:
-    """(doc_id, source, size, source_size, target, epochs) of every row: epochs is how often the mix takes it.
+    """(doc_id, source, size, text_hash, source_size, target, epochs) of every row: epochs is how often the mix takes it.
 
-    A null text has size 0 and is taken 0 times, as is an empty one; a null source is a source, the last; null ids
-    share one shuffle key; rows that repeat an id are separate documents. An empty table gives no rows. Only the three named
+    A null text has size 0 and is taken 0 times, as is an empty one; a null source is a source, the last; rows without
+    an id are shuffled by their text; rows that repeat an id are separate documents, told apart by their text_hash (rows that repeat
+    both are interchangeable). An empty table gives no rows. Only the three named
     columns are read. The budget is the sum of all sizes, and the document that crosses it is not taken.
     """
     words = F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long") if size is None else size
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), named(source_col).alias("stratum"), words.alias("size"), seeded_key(seed, F.col(id_col)).alias("key"))
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), named(source_col).alias("stratum"), words.alias("size"), text_hash(text_col), seeded_key(seed, row_name(id_col, text_col)).alias("key"))
     rows = stored(rows, "mix-rows")
-    buckets = buckets_for(rows.count())
+    buckets = buckets_for(docs.sparkSession, rows.count())
     targets = source_targets(rows.groupBy("stratum", "source").agg(F.sum("size").alias("source_size")), weights, max_epochs)
     targets = stored(targets.select("stratum", "source_size", "target"), "mix-targets")
     rows = rows.withColumn("bucket", key_bucket(F.col("key"), buckets))
-    queued = running(rows, "bucket", [F.col("key"), F.col("doc_id"), F.col("size")], F.col("size"), "served", group="stratum").drop("bucket", "served_total")
+    queued = running(rows, "bucket", [F.col(c) for c in ("key", *ROW)], F.col("size"), "served", group="stratum").drop("bucket", "served_total")
     queued = stored(queued.join(targets, "stratum"), "mix-queue")
     turns = queued.where("size > 0").withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(max_epochs - 1))))
     turns = turns.withColumn("finish", (F.col("epoch") * F.col("source_size") + F.col("served")) / F.col("target"))
     # Finish times reach from 0 to far beyond 1; f / (1 + f) keeps them apart at both ends.
     spread = F.floor(F.col("finish") / (1 + F.col("finish")) * F.lit(2 * buckets)).cast("int")
-    turns = turns.select("doc_id", "stratum", "key", "size", "epoch", "finish", spread.alias("bucket"))
-    order = [F.col(c) for c in ("finish", "stratum", "key", "doc_id", "size")]
+    turns = turns.select("stratum", "key", *ROW, "epoch", "finish", spread.alias("bucket"))
+    order = [F.col(c) for c in ("finish", "stratum", "key", *ROW)]
     budget = rows.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
     cut = running(turns, "bucket", order, F.col("size"), "spent").where(F.col("spent") <= budget)
-    # Rows that repeat an id and a size are told apart by their place in the queue, which no two nonempty rows share.
-    taken = cut.select("doc_id", "stratum", "key", "size", (F.col("finish")).alias("finish"), "epoch")
-    counts = taken.groupBy("doc_id", "stratum", "key", "size").agg(F.count("*").alias("turns"))
-    same = Window.partitionBy("doc_id", "stratum", "key", "size").orderBy("served")
-    queued = queued.withColumns({"copy": F.row_number().over(same), "copies": F.count("*").over(Window.partitionBy("doc_id", "stratum", "key", "size"))})
-    joined = queued.alias("q").join(counts.alias("c"), [F.col(f"q.{k}").eqNullSafe(F.col(f"c.{k}")) for k in ("doc_id", "stratum", "key", "size")], "left")
-    mine = F.coalesce(F.col("turns"), F.lit(0))
-    # Of the copies' turns the first in the queue take the larger shares.
-    epochs = F.floor(mine / F.col("copies")) + F.when(F.col("copy") <= mine % F.col("copies"), 1).otherwise(0)
-    return joined.select("q.doc_id", "q.source", "q.size", "q.source_size", "q.target", epochs.cast("int").alias("epochs"))
+    counts = cut.groupBy("stratum", "key", *ROW).agg(F.count("*").alias("turns"))
+    # Of rows alike in all of these the first in the queue take the larger shares of their turns.
+    alike = Window.partitionBy("stratum", "key", *ROW)
+    queued = queued.withColumns({"copy": F.row_number().over(alike.orderBy("served")), "copies": F.count("*").over(alike)})
+    joined = queued.alias("q").join(counts.alias("c"), [F.col(f"q.{k}").eqNullSafe(F.col(f"c.{k}")) for k in ("stratum", "key", *ROW)], "left")
+    epochs = shared_out(F.coalesce(F.col("turns"), F.lit(0)), F.col("copies"), F.col("copy"))
+    return joined.select("q.doc_id", "q.source", "q.size", "q.text_hash", "q.source_size", "q.target", epochs.cast("int").alias("epochs"))
+
+
+def shared_out(total: F.Column, copies: F.Column, copy: F.Column) -> F.Column:
+    """The part of total that copy number 1, 2, ... gets: parts differ by one at most, the first are the larger."""
+    return F.floor(total / copies) + F.when(copy <= total % copies, 1).otherwise(0)
 
 
 def op9_mixing(spark, sf_dir: str) -> DataFrame:
@@ -98,7 +108,7 @@ def oracle() -> str:
     return f"""
 WITH rows AS (
   SELECT doc_id, source, CASE WHEN source IS NULL THEN 'n' ELSE 's' || source END AS stratum,
-    coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size, {sql_seeded_key(SEED, "doc_id")} AS key
+    coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size, {sql_seeded_key(SEED, "doc_id", "text")} AS key
   FROM documents),
 sizes AS (SELECT stratum, any_value(source) AS source, sum(size)::BIGINT AS source_size FROM rows GROUP BY stratum),
 weighed AS (

@@ -6,7 +6,7 @@ the small table of buckets, and a window inside a bucket supplies the rest.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Rows that a bucket holds on average.
@@ -14,8 +14,9 @@ ROWS_PER_BUCKET = 20_000
 KEY_BITS = 60
 
 
-def buckets_for(n_rows: int) -> int:
-    return max(8, -(-n_rows // ROWS_PER_BUCKET))
+def buckets_for(spark: SparkSession, n_rows: int) -> int:
+    """Enough buckets that each holds its share and every partition of an exchange gets some."""
+    return max(8, int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n_rows // ROWS_PER_BUCKET))
 
 
 def key_bucket(key: Column, n: int) -> Column:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import named, seeded_key, sql_seeded_key, stored
+from tessera.llm.common import named, row_name, seeded_key, sql_seeded_key, stored
 from tessera.llm.ranking import buckets_for, key_bucket, running
 
 SEED = 17
@@ -22,8 +22,8 @@ def stratified_shards(
 ) -> DataFrame:
     """(id, source, size, text_crc32, position, shard, slot) of every row of docs.
 
-    A null text has size 1 and checksum 0; null sources form a source of their own; null ids share one
-    shuffle key. Rows that repeat an id keep separate slots. An empty table gives no rows. Other columns
+    A null text has size 1 and checksum 0; null sources form a source of their own; rows without an
+    id are shuffled by their text. Rows that repeat an id keep separate slots. An empty table gives no rows. Other columns
     are not read, so their names cannot clash.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
@@ -33,11 +33,11 @@ def stratified_shards(
         named(source_col).alias("stratum"),
         (F.octet_length(text) + 1).cast("long").alias("size"),
         F.crc32(text).alias("text_crc32"),
-        seeded_key(seed, F.col(id_col)).alias("key"),
+        seeded_key(seed, row_name(id_col, text_col)).alias("key"),
     )
     rows = stored(rows, "shard-rows")
     n = rows.count()
-    buckets = buckets_for(n)
+    buckets = buckets_for(docs.sparkSession, n)
     ties = [F.col(c) for c in ("key", "doc_id", "text_crc32", "size")]
     rows = rows.withColumn("bucket", key_bucket(F.col("key"), buckets))
     ranked = running(rows, "bucket", ties, F.lit(1), "rank", group="stratum")
@@ -72,7 +72,7 @@ rows AS (
     strlen(coalesce(text, '')) + 1 AS size,
     xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda h: ('0x' || h)::BIGINT)),
         lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) AS text_crc32,
-    {sql_seeded_key(SEED, "doc_id")} AS key
+    {sql_seeded_key(SEED, "doc_id", "text")} AS key
   FROM documents, crc_step),
 ranked AS (
   SELECT *, (row_number() OVER (PARTITION BY stratum ORDER BY key, doc_id, text_crc32, size) - 0.5::DOUBLE) / count(*) OVER (PARTITION BY stratum) AS fraction FROM rows),

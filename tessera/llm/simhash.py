@@ -137,20 +137,21 @@ def _meeting_links(fingerprints: DataFrame, limit: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, limit: int = MAX_DISTANCE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp, component_id) of every row: component_id is the least id reachable over linked fingerprints.
+    """(doc_id, fp, text_hash, root, component_id) of every row: component_id is the least id reachable over linked fingerprints,
+    root the least fingerprint, which names the component even where ids repeat or lack; text_hash is xxhash64 of the text.
 
     Null and empty texts, and texts without words, have fingerprint zero and are linked like any other. Rows with a null
     id are given the component of what they link to, null if nothing with an id. Repeated rows get equal results;
     an empty table gives no rows. Only the two named columns are read.
     """
     small_batches(docs.sparkSession)
-    marks = stored(docs.select(F.col(id_col).alias("doc_id"), fingerprint_udf(F.col(text_col)).alias("fp")), "fingerprints")
+    marks = stored(docs.select(F.col(id_col).alias("doc_id"), fingerprint_udf(F.col(text_col)).alias("fp"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("text_hash")), "fingerprints")
     classes = stored(marks.groupBy("fp").agg(F.min("doc_id").alias("least")), "classes")
     roots = components(near_links(classes.select("fp"), limit))
     rooted = classes.join(roots, classes.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = rooted.join(least, "root").select("fp", "component_id")
-    return marks.join(named, "fp").select("doc_id", "fp", "component_id")
+    named = rooted.join(least, "root").select("fp", "root", "component_id")
+    return marks.join(named, "fp").select("doc_id", "fp", "text_hash", "root", "component_id")
 
 
 def op3_simhash(spark, sf_dir: str) -> DataFrame:

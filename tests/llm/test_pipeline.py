@@ -2,6 +2,7 @@ from collections import Counter
 
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline as c
 from tessera.llm import quality, sentencepiece_sampling
@@ -93,6 +94,28 @@ def test_encoding_stage(steps):
     assert all(sentencepiece_sampling.decode_ids(r.ids, vocabulary) == texts[r.doc_id] for r in got)
 
 
+def test_turns_of_a_document_are_sampled_apart(steps):
+    turns, seen = Counter(r.doc_id for r in steps[4].collect()), {}
+    for r in steps[5].collect():
+        seen.setdefault(r.doc_id, {}).setdefault(r.turn, []).append(tuple(r.ids))
+    assert {i: len(t) for i, t in seen.items()} == turns
+    several = [t for t in seen.values() if len(t) > 1]
+    assert several and all(len({tuple(sorted(x)) for x in t.values()}) == len(t) for t in several if len(next(iter(t.values()))[0]) > 50)
+
+
+def test_rows_that_repeat_an_id_stay_if_nothing_links_them(spark):
+    one, two = " ".join(f"w{i}" for i in range(80)), " ".join(f"v{i * i}" for i in range(90))
+    rows = [(1, one, "a"), (1, two, "a"), (2, one, "b"), (None, two, "c"), (None, one + " x y", "c"), (None, "a text of its own that nothing else here has", "d"), (1, one, "a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    first = {tuple(r) for r in c.drop_near_duplicates(spark, docs, "").collect()}
+    assert {r[:2] for r in first} == {(1, one), (1, two), (None, rows[5][1])} or {r[:2] for r in first} == {(1, one), (1, two), (None, rows[4][1]), (None, rows[5][1])}
+    for _ in range(2):
+        again = c.drop_near_duplicates(spark, docs.orderBy(F.rand()).repartition(3), "").collect()
+        assert len(again) == len(first) and {tuple(r) for r in again} == first
+    mixed = Counter(tuple(r) for r in c.mix_sources(spark, docs.dropDuplicates(), "").collect())
+    assert max(mixed.values()) <= 3
+
+
 def test_odd_rows_pass_all_stages(spark, tmp_path):
     good = " ".join(f"w{i}" for i in range(80))
     other = " ".join(f"v{i}" for i in range(90))
