@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.llm import mixing, quality, sentencepiece_sampling, simhash, substring
@@ -25,22 +25,35 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return _named(judged.where("kept"), docs)
 
 
+def _hash() -> F.Column:
+    return F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
+
+
+def _same(left: DataFrame, right: DataFrame) -> F.Column:
+    """Rows of one id (or none) and one text."""
+    return left["doc_id"].eqNullSafe(right["doc_id"]) & (left["_hash"] == right["_hash"])
+
+
+def _copies(docs: DataFrame) -> F.Column:
+    """The number, from 1, of a row among those of its id and text, by its other columns."""
+    return F.row_number().over(Window.partitionBy("doc_id", "_hash").orderBy(*_others(docs)))
+
+
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of linked fingerprints: that of the least id.
+    """One row of each group of linked fingerprints: that of the least id, a row with an id before rows without.
 
-    A row without an id stays if its group has no id at all, one for each fingerprint; of rows that repeat an id one stays.
+    Of rows of that id the one of the least fingerprint and text hash stays; rows that repeat an id with texts that nothing
+    links are groups of their own and all stay.
     """
     found = stored(simhash.near_duplicates(docs), "near")
-    heads = found.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("n"))
-    kept = docs.join(heads.select("doc_id").hint("shuffle_hash"), "doc_id", "left_semi").select(docs.columns)
-    if not heads.where("n > 1").isEmpty():
-        kept = kept.dropDuplicates(["doc_id"])
-    nameless = found.where("doc_id is null and component_id is null").select("fp").distinct()
-    if nameless.isEmpty():
-        return kept
-    marked = docs.where("doc_id is null").withColumn("_fp", simhash.fingerprint_udf(F.col("text")))
-    others = marked.join(nameless, marked["_fp"] == nameless["fp"], "left_semi").dropDuplicates(["_fp"])
-    return kept.unionByName(others.select(docs.columns))
+    # One row a group and map task: a group that holds a third of all rows is combined before it is shuffled.
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "fp", "text_hash")).alias("first")
+    heads = found.groupBy("root").agg(first).select("first.doc_id", F.col("first.text_hash").alias("_hash"))
+    marked = docs.withColumn("_hash", _hash())
+    kept = marked.join(heads, _same(marked, heads), "left_semi")
+    if not found.groupBy("doc_id", "text_hash").agg(F.count("*").alias("n")).where("n > 1").isEmpty():
+        kept = kept.withColumn("_copy", _copies(docs)).where("_copy = 1")
+    return kept.select(docs.columns)
 
 
 def remove_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,16 +65,22 @@ def remove_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them; those that it does not take go."""
-    keyed = docs.withColumn("_row", F.coalesce("doc_id", F.xxhash64("text")))
-    mix = mixing.fair_mix(keyed, id_col="_row").where("epochs > 0").groupBy(F.col("doc_id").alias("_row")).agg(F.max("epochs").alias("_epochs"))
-    turns = keyed.join(mix.hint("shuffle_hash"), "_row").withColumn("_turn", F.explode(F.sequence(F.lit(1), F.col("_epochs"))))
-    return turns.select(docs.columns)
+    mix = mixing.fair_mix(docs).groupBy("doc_id", F.col("text_hash").alias("_hash")).agg(F.sum("epochs").alias("_turns"), F.count("*").alias("_copies"))
+    marked = docs.withColumn("_hash", _hash())
+    taken = mix.where("_turns > 0")
+    turns = marked.join(taken, _same(marked, taken)).select(marked["*"], "_turns", "_copies").withColumn("_copy", _copies(docs))
+    epochs = mixing.shared_out(F.col("_turns"), F.col("_copies"), F.col("_copy")).cast("int")
+    return turns.withColumn("_epochs", epochs).where("_epochs > 0").withColumn("_epoch", F.explode(F.sequence(F.lit(1), "_epochs"))).select(docs.columns)
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sampled segmentations of every document's whole text: (doc_id, source, sample, ids, log_prob, inclusion)."""
-    found = sentencepiece_sampling.sample_encode(docs, keep=("source",))
-    return found.select("doc_id", F.col("kept_source").alias("source"), "sample", "ids", "log_prob", "inclusion")
+    """Sampled segmentations of every document's whole text: (doc_id, source, turn, sample, ids, log_prob, inclusion).
+
+    A document that the mix took several times is sampled anew in each turn.
+    """
+    turns = docs.withColumn("_hash", _hash()).withColumn("turn", _copies(docs))
+    found = sentencepiece_sampling.sample_encode(turns, keep=("source", "turn"), turn_col="turn")
+    return found.select("doc_id", F.col("kept_source").alias("source"), F.col("kept_turn").alias("turn"), "sample", "ids", "log_prob", "inclusion")
 
 
 STAGES = [
