@@ -78,7 +78,9 @@ class Vocabulary:
             maybe[_slot(one)] |= 1
             maybe[_slot(Sums(heads).of(at, at + length))] |= 2
             ends = points.reshape(-1, length)[order][:, [0, -1]]
-            self.tables[length] = (one[order], ends, np.array([i for _, i in some], np.int32)[order], maybe)
+            # Of each slot the place of its first piece in the order of hashes.
+            first = np.concatenate([[0], np.cumsum(np.bincount(_slot(one), minlength=1 << 20))]).astype(np.int32 if len(some) >= 1 << 15 else np.int16)
+            self.tables[length] = (one[order], ends, np.array([i for _, i in some], np.int32)[order], maybe, first)
 
 
 def _slot(hashes: np.ndarray) -> np.ndarray:
@@ -93,13 +95,19 @@ def _matches(points: np.ndarray, left: np.ndarray, v: Vocabulary):
         at = at[left[at] >= length]
         if not len(at):
             return
-        hashes, ends, ids, maybe = v.tables[length]
+        hashes, ends, ids, maybe, first = v.tables[length]
         h = one.of(at, at + length)
-        what = maybe[_slot(h)]
+        slot = _slot(h)
+        what = maybe[slot]
         some = np.flatnonzero(what & 1)
         if len(some):
-            k = np.minimum(np.searchsorted(hashes, h[some]), len(hashes) - 1)
-            hit = hashes[k] == h[some]
+            wanted, k = h[some], first[slot[some]].astype(np.int64)
+            later = np.flatnonzero(hashes[k] < wanted)
+            while len(later):
+                k[later] += 1
+                later = later[(k[later] < len(hashes) - 1) & (hashes[np.minimum(k[later], len(hashes) - 1)] < wanted[later])]
+            k = np.minimum(k, len(hashes) - 1)
+            hit = hashes[k] == wanted
             some, k = some[hit], k[hit]
             hit = (ends[k, 0] == points[at[some]]) & (ends[k, 1] == points[at[some] + length - 1])
             yield length, at[some[hit]], ids[k[hit]]
@@ -171,15 +179,19 @@ class Lattice:
         left = size[unit] - offset
         self.last = np.zeros(total + len(size), bool)
         self.last[self.node_of + size] = True
-        n_nodes, wide = total + len(size), min(v.longest, int(size.max(initial=1)))
+        found = [m for m in _matches(points, left, v) if len(m[1])]
+        n_nodes, wide = total + len(size), found[-1][0] if found else 1
         # Row: the node an edge begins at; column: the longest edges' first, for they are the likeliest as a rule and
         # most draws end at a node's first edge.
         weight = np.zeros((n_nodes, wide))
         piece = np.empty((n_nodes, wide), np.int32)
+        used = np.zeros((n_nodes, wide), bool)
         covered = np.zeros(total, bool)
-        for length, here, ids in _matches(points, left, v):
-            weight[node[here], wide - length] = v.odds[ids]
-            piece[node[here], wide - length] = ids
+        for length, here, ids in found:
+            cells = node[here] * wide + (wide - length)
+            weight.reshape(-1)[cells] = v.odds[ids]
+            piece.reshape(-1)[cells] = ids
+            used.reshape(-1)[cells] = True
             if length == 1:
                 covered[here] = True
         bare = np.flatnonzero(~covered)
@@ -187,6 +199,7 @@ class Lattice:
         n_bytes = 1 + (code > 0x7F) + (code > 0x7FF) + (code > 0xFFFF)
         weight[node[bare], wide - 1] = np.exp(v.byte_weight * n_bytes)
         piece[node[bare], wide - 1] = -code - 1
+        used[node[bare], wide - 1] = True
         # Backward sums, by distance from the unit's end; as plain products where no unit is long enough to underflow.
         order = np.argsort(left.astype(np.int16 if size.max(initial=0) < 1 << 15 else np.int64), kind="stable")
         long = size[unit] > LONG_UNIT
@@ -209,12 +222,12 @@ class Lattice:
             if not logs:
                 short = node[many]
                 log_beta[short] = np.log(beta[short])
-        cells = np.flatnonzero(weight)
+        cells = np.flatnonzero(used)
         self.begin, column = np.divmod(cells, wide)
         self.end, self.piece = self.begin + wide - column, piece.reshape(-1)[cells]
         self.log_p = np.minimum(np.log(weight.reshape(-1)[cells]) + log_beta[self.end] - log_beta[self.begin], 0.0)
         self.p = np.exp(self.log_p)
-        self.head = np.searchsorted(self.begin, np.arange(n_nodes + 1))
+        self.head = np.concatenate([[0], np.cumsum(np.bincount(self.begin, minlength=n_nodes))])
         run = np.cumsum(self.p)
         self.upto = (run - np.concatenate([[0.0], run])[self.head[self.begin]]).astype(np.float32)
         final = self.head[1:][self.head[1:] > self.head[:-1]] - 1
