@@ -59,7 +59,6 @@ class Vocabulary:
                 by_length.setdefault(len(plain), []).append((plain, i))
                 ranks[i] = max(-model.get_score(i), 0) if model.get_score(i) > -1e8 else n
         self.weight = -alpha * np.log(2 + np.minimum(ranks, n))
-        self.odds = np.exp(self.weight)
         self.byte_weight = -alpha * float(np.log(2 + n))
         self.longest = max(by_length)
         self.tables = {}
@@ -183,23 +182,27 @@ class Lattice:
         n_nodes, wide = total + len(size), found[-1][0] if found else 1
         # Row: the node an edge begins at; column: the longest edges' first, for they are the likeliest as a rule and
         # most draws end at a node's first edge.
-        weight = np.zeros((n_nodes, wide))
-        piece = np.empty((n_nodes, wide), np.int32)
-        used = np.zeros((n_nodes, wide), bool)
+        piece = np.empty(n_nodes * wide, np.int32)
+        used = np.zeros(n_nodes * wide, bool)
         covered = np.zeros(total, bool)
         for length, here, ids in found:
             cells = node[here] * wide + (wide - length)
-            weight.reshape(-1)[cells] = v.odds[ids]
-            piece.reshape(-1)[cells] = ids
-            used.reshape(-1)[cells] = True
+            piece[cells] = ids
+            used[cells] = True
             if length == 1:
                 covered[here] = True
         bare = np.flatnonzero(~covered)
-        code = points[bare].astype(np.int64)
-        n_bytes = 1 + (code > 0x7F) + (code > 0x7FF) + (code > 0xFFFF)
-        weight[node[bare], wide - 1] = np.exp(v.byte_weight * n_bytes)
-        piece[node[bare], wide - 1] = -code - 1
-        used[node[bare], wide - 1] = True
+        cells = node[bare] * wide + (wide - 1)
+        piece[cells] = -points[bare].astype(np.int32) - 1
+        used[cells] = True
+        cells = np.flatnonzero(used)
+        self.begin, column = np.divmod(cells, wide)
+        self.end, self.piece = self.begin + wide - column, piece[cells]
+        self.head = np.concatenate([[0], np.cumsum(np.bincount(self.begin, minlength=n_nodes))])
+        log_weight = v.weight[self.piece]
+        bare = np.flatnonzero(self.piece < 0)
+        code = -self.piece[bare] - 1
+        log_weight[bare] = v.byte_weight * (1 + (code > 0x7F) + (code > 0x7FF) + (code > 0xFFFF))
         # Backward sums, by distance from the unit's end; as plain products where no unit is long enough to underflow.
         order = np.argsort(left.astype(np.int16 if size.max(initial=0) < 1 << 15 else np.int64), kind="stable")
         long = size[unit] > LONG_UNIT
@@ -207,27 +210,29 @@ class Lattice:
         for many, logs in ((order[~long[order]], False), (order[long[order]], True)):
             if not len(many):
                 continue
-            bounds = np.searchsorted(left[many], np.arange(1, int(left[many[-1]]) + 2))
+            here = node[many]
+            counts = self.head[here + 1] - self.head[here]
+            ends = np.cumsum(counts)
+            begins = ends - counts
+            edge = np.repeat(self.head[here] - begins, counts) + np.arange(ends[-1])
+            weight, to = log_weight[edge] if logs else np.exp(log_weight[edge]), self.end[edge]
+            bounds = np.searchsorted(left[many], np.arange(1, int(left[many[-1]]) + 2)).tolist()
             beta = log_beta if logs else np.ones(n_nodes)
-            for r, (a, z) in enumerate(zip(bounds[:-1], bounds[1:], strict=True), 1):
-                here, c = node[many[a:z]], min(r, wide)
-                after = beta[here[:, None] + np.arange(c, 0, -1)]
+            for a, z in zip(bounds[:-1], bounds[1:], strict=True):
+                if a == z:
+                    continue
+                x, y = begins[a], ends[z - 1]
+                first = begins[a:z] - x
                 if logs:
-                    with np.errstate(divide="ignore"):
-                        value = np.log(weight[here, wide - c :]) + after
-                    most = value.max(axis=1)
-                    beta[here] = most + np.log(np.exp(value - most[:, None]).sum(axis=1))
+                    value = weight[x:y] + beta[to[x:y]]
+                    most = np.maximum.reduceat(value, first)
+                    beta[here[a:z]] = most + np.log(np.add.reduceat(np.exp(value - np.repeat(most, counts[a:z])), first))
                 else:
-                    beta[here] = np.einsum("ij,ij->i", weight[here, wide - c :], after)
+                    beta[here[a:z]] = np.add.reduceat(weight[x:y] * beta[to[x:y]], first)
             if not logs:
-                short = node[many]
-                log_beta[short] = np.log(beta[short])
-        cells = np.flatnonzero(used)
-        self.begin, column = np.divmod(cells, wide)
-        self.end, self.piece = self.begin + wide - column, piece.reshape(-1)[cells]
-        self.log_p = np.minimum(np.log(weight.reshape(-1)[cells]) + log_beta[self.end] - log_beta[self.begin], 0.0)
+                log_beta[here] = np.log(beta[here])
+        self.log_p = np.minimum(log_weight + log_beta[self.end] - log_beta[self.begin], 0.0)
         self.p = np.exp(self.log_p)
-        self.head = np.concatenate([[0], np.cumsum(np.bincount(self.begin, minlength=n_nodes))])
         run = np.cumsum(self.p)
         self.upto = (run - np.concatenate([[0.0], run])[self.head[self.begin]]).astype(np.float32)
         final = self.head[1:][self.head[1:] > self.head[:-1]] - 1

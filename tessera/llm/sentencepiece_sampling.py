@@ -55,10 +55,10 @@ def _gumbel(u: np.ndarray) -> np.ndarray:
     return -np.log(-np.log(u))
 
 
-def _truncated(mass: np.ndarray, u: np.ndarray, top: float | np.ndarray) -> np.ndarray:
-    """Gumbel values of location mass, given that they are at most top; -inf where there is no mass."""
-    with np.errstate(over="ignore", divide="ignore"):
-        return np.where(np.isneginf(mass), -np.inf, -np.logaddexp(-top, -(mass + _gumbel(u))))
+def _truncated(free: float, top: float) -> float:
+    """A Gumbel value, drawn freely, given that it is at most top; -inf for -inf. It grows with the free one."""
+    with np.errstate(over="ignore"):
+        return -np.inf if np.isneginf(free) else float(-np.logaddexp(-top, -free))
 
 
 def _walk(lattice: Lattice, nodes: np.ndarray, keys: np.ndarray, units: np.ndarray, stream: int) -> tuple[np.ndarray, np.ndarray]:
@@ -84,8 +84,8 @@ def _walk(lattice: Lattice, nodes: np.ndarray, keys: np.ndarray, units: np.ndarr
 class _Round:
     """One new path of each of some texts: its edges from where it leaves the path it forks from, in one array.
 
-    ``open`` holds, for each edge, the largest perturbed value among paths that go with this one up to it, and no
-    further. position: of a text's first new edge in its whole path; before: the log-probability up to there.
+    ``open`` holds, for each edge, the largest value, drawn freely, among paths that go with this one up to it, and no
+    further; truncated at this path's value it is their perturbed one, in the same order. position: of a text's first new edge in its whole path; before: the log-probability up to there.
     """
 
     def __init__(self, lattice: Lattice, number: int, docs: np.ndarray, edges: np.ndarray, units: np.ndarray, owner: np.ndarray, position: np.ndarray, before: np.ndarray, value: np.ndarray, barred: list[list[int]], keys: np.ndarray):
@@ -105,7 +105,7 @@ class _Round:
             others[first[i]] -= len(barred[i])
         mass = np.where((others <= 0) | (away <= 0), -np.inf, at + np.log(np.maximum(away, 1e-300)))
         place = np.arange(len(edges)) - (first - position)[owner]
-        self.open = _truncated(mass, _uniform(keys[docs[owner]], number, place, 1 << 40), value[owner])
+        self.open = mass + _gumbel(_uniform(keys[docs[owner]], number, place, 1 << 40))
         self.best = np.full(len(docs), -np.inf)
         self.where = np.zeros(len(docs), np.int64)
         full = np.flatnonzero(np.diff(self.bounds) > 0)
@@ -115,9 +115,13 @@ class _Round:
             self.where[owner[top[::-1]]] = top[::-1]
         self.row = {d: i for i, d in enumerate(docs.tolist())}
 
+    def top(self, i: int) -> float:
+        """The best open value of text i."""
+        return _truncated(self.best[i], self.value[i])
+
     def take(self, i: int) -> tuple[float, int]:
         """The best open value of text i and its place; the next best takes its stead."""
-        value, k = float(self.best[i]), int(self.where[i])
+        value, k = self.top(i), int(self.where[i])
         self.open[k] = -np.inf
         a, z = self.bounds[i], self.bounds[i + 1]
         self.where[i] = a + int(self.open[a:z].argmax())
@@ -146,7 +150,7 @@ def _sample(texts: list[str], keys: np.ndarray, vocabulary: Vocabulary, k: int)
             if len(out[d]) < number - 1:
                 continue
             mine = [r for r in range(len(rounds)) if d in rounds[r].row]
-            r = max(mine, key=lambda r: rounds[r].best[rounds[r].row[d]])
+            r = mine[0] if len(mine) == 1 else max(mine, key=lambda r: rounds[r].top(rounds[r].row[d]))
             source, i = rounds[r], rounds[r].row[d]
             if np.isneginf(source.best[i]):
                 continue
@@ -194,7 +198,7 @@ def _sample(texts: list[str], keys: np.ndarray, vocabulary: Vocabulary, k: int)
         ids.append(made)
     done = []
     for d, some in enumerate(out):
-        kappa = max((float(r.best[r.row[d]]) for r in rounds if d in r.row), default=-np.inf) if len(some) == k else -np.inf
+        kappa = max((r.top(r.row[d]) for r in rounds if d in r.row), default=-np.inf) if len(some) == k else -np.inf
         with np.errstate(over="ignore"):
             done.append([(x, p, v, 1.0 if np.isneginf(kappa) else float(-np.expm1(-np.exp(p - kappa)))) for x, p, v in some])
     return done
