@@ -33,7 +33,7 @@ SEED = 53
 ALPHA = 0.5
 K = 2
 #: Characters whose lattices are held at once; a longer text is taken alone.
-BATCH_CHARS = 1 << 19
+BATCH_CHARS = 1 << 16
 _U = np.uint64
 _loaded: dict = {}
 
