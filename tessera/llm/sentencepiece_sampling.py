@@ -34,6 +34,9 @@ ALPHA = 0.5
 K = 2
 #: Characters whose lattices are held at once; a longer text is taken alone.
 BATCH_CHARS = 1 << 16
+#: Characters whose rows are handed on in one frame.
+FRAME_CHARS = 1 << 22
+DIGESTS = ("n_pieces", "ids_crc32", "decoded_sha256")
 _U = np.uint64
 _loaded: dict = {}
 
@@ -255,20 +258,19 @@ def sample_encode(
             turns = batch["_turn"].tolist() if turn_col else [0] * len(ids)
             keys = np.array([row_key(seed, i, t, n) for i, t, n in zip(ids, texts, turns, strict=True)], dtype=_U)
             carried = batch.drop(columns=["text", "_turn"] if turn_col else "text")
-            at = 0
+            at, rows, held = 0, [], 0
             while at < len(texts):
                 upto, load = at + 1, len(texts[at])
                 while upto < len(texts) and load + len(texts[upto]) <= batch_chars:
                     load += len(texts[upto])
                     upto += 1
-                found = _sample([f" {t}" if t else "" for t in texts[at:upto]], keys[at:upto], vocabulary, k)
-                rows = [(at + i, s, *one) for i, some in enumerate(found) for s, one in enumerate(some)]
-                frame = pd.DataFrame(rows, columns=["row", "sample", "ids", "log_prob", "perturbed", "inclusion"])
-                if digest:
-                    made = [(len(x), zlib.crc32(x.astype("<i4").tobytes()), hashlib.sha256(decode_ids(x.tolist(), vocabulary).encode("utf-8")).hexdigest()) for x in frame["ids"]]
-                    frame = pd.concat([frame.drop(columns="ids"), pd.DataFrame(made, columns=["n_pieces", "ids_crc32", "decoded_sha256"])], axis=1)
-                yield pd.concat([carried.iloc[frame["row"]].reset_index(drop=True), frame.drop(columns="row")], axis=1)
-                at = upto
+                for i, some in enumerate(_sample([f" {t}" if t else "" for t in texts[at:upto]], keys[at:upto], vocabulary, k), at):
+                    rows += [(i, n, *(_digests(x, vocabulary) if digest else (x,)), *scores) for n, (x, *scores) in enumerate(some)]
+                at, held = upto, held + load
+                if at == len(texts) or held > FRAME_CHARS:
+                    frame = pd.DataFrame(rows, columns=["row", "sample", *(DIGESTS if digest else ("ids",)), "log_prob", "perturbed", "inclusion"])
+                    yield pd.concat([carried.iloc[frame["row"]].reset_index(drop=True), frame.drop(columns="row")], axis=1)
+                    rows, held = [], 0
 
     turn = [F.coalesce(F.col(turn_col).cast("int"), F.lit(0)).alias("_turn")] if turn_col else []
     carried = docs.select(F.col(id_col).cast("long").alias("doc_id"), *[F.col(c).alias(f"kept_{c}") for c in keep], *turn, F.col(text_col).alias("text"))
@@ -277,10 +279,14 @@ def sample_encode(
     return map_slices(carried, encode, f"{head}, sample int, {what}, log_prob double, perturbed double, inclusion double", rows=1000)
 
 
+def _digests(ids: np.ndarray, vocabulary: Vocabulary) -> tuple[int, int, str]:
+    return len(ids), zlib.crc32(ids.astype("<i4").tobytes()), hashlib.sha256(decode_ids(ids.tolist(), vocabulary).encode("utf-8")).hexdigest()
+
+
 def decode_ids(ids, vocabulary: Vocabulary) -> str:
     """The text of some ids: pieces and bytes joined, without the space put before a text; stray bytes become U+FFFD."""
     table = vocabulary.bytes_
-    data = b"".join([table[i] for i in ids])
+    data = b"".join(map(table.__getitem__, ids))
     return data.removeprefix(b" ").decode("utf-8", "replace")
 
 
