@@ -17,6 +17,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera.functions.text import digest_of
+
 EVENT = T.StructType([T.StructField("type", T.StringType()), T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType()), T.StructField("context", T.StringType())])
 RESULT = T.StructType([T.StructField("text", T.StringType()), T.StructField("counts", T.MapType(T.StringType(), T.IntegerType())), T.StructField("events", T.ArrayType(EVENT))])
 
@@ -37,21 +39,23 @@ def thai_id(digits: str) -> bool:
 
 
 # Patterns and markers of the Thai pools, in the order in which they are applied.
-THAI_RULES: tuple[tuple[str, str, str, Callable[[re.Match], bool] | None], ...] = (
-    ("email", "[EMAIL]", r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}(?![A-Za-z0-9.-])", None),
-    ("thai_national_id", "[THAI_ID]", r"(?<!\d)(\d)[\s-]?(\d{4})[\s-]?(\d{5})[\s-]?(\d{2})[\s-]?(\d)(?!\d)", lambda m: thai_id("".join(m.groups()))),
+EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}(?![A-Za-z0-9.-])"
+THAI_RULES: tuple[tuple[str, str, str, int, Callable[[re.Match], bool] | None], ...] = (
+    ("email", "[EMAIL]", EMAIL, 0, None),
+    ("thai_national_id", "[THAI_ID]", r"(?<![\d])(\d)[\s-]?(\d{4})[\s-]?(\d{5})[\s-]?(\d{2})[\s-]?(\d)(?![\d])", 0, lambda m: thai_id("".join(m.groups()))),
     (
         "credit_card",
         "[CARD]",
-        r"(?i:บัตรเครดิต|บัตรเดบิต|เลขบัตร|credit\s*card|visa|mastercard)[^\d]{0,30}(?<!\d)((?:\d[ -]?){13,19})(?!\d)",
+        r"(?:บัตรเครดิต|บัตรเดบิต|เลขบัตร|credit\s*card|visa|mastercard)[^\d]{0,30}(?<![\d])((?:\d[ -]?){13,19})(?![\d])",
+        re.I,
         lambda m: luhn(m[1], all_same=True),
     ),
-    ("bank_account", "[BANK_ACCOUNT]", r"(?:บัญชี|เลขที่บัญชี|โอนเข้า|พร้อมเพย์|กสิกร|ไทยพาณิชย์|กรุงเทพ|กรุงไทย|ธนาคาร)[^\d]{0,20}(?<!\d)(?:\d[\s-]?){10,12}(?!\d)", None),
-    ("phone", "[PHONE]", r"(?<!\d)(?:\+66[\s-]?|0)(?:[689]\d|[2-7])[\s-]?\d{3}[\s-]?\d{3,4}(?!\d)", None),
-    ("line_id", "[LINE_ID]", r"(?i:(?:ไลน์|line)\s*(?:id|ไอดี)?\s*[:：]?\s*@?([A-Za-z0-9._-]{4,20}))", None),
-    ("social_handle", "[SOCIAL_HANDLE]", r"(?i:(?:facebook\.com|fb\.com|instagram\.com|twitter\.com|x\.com)/([A-Za-z0-9._-]{3,}))", None),
+    ("bank_account", "[BANK_ACCOUNT]", r"(?:บัญชี|เลขที่บัญชี|โอนเข้า|พร้อมเพย์|กสิกร|ไทยพาณิชย์|กรุงเทพ|กรุงไทย|ธนาคาร)[^\d]{0,20}(?<![\d])(\d[\s-]?){10,12}(?![\d])", 0, None),
+    ("phone", "[PHONE]", r"(?<![\d])(?:\+66[\s-]?|0)(?:[689]\d{1}|[2-7])[\s-]?\d{3}[\s-]?\d{3,4}(?![\d])", 0, None),
+    ("line_id", "[LINE_ID]", r"(?:ไลน์|line)\s*(?:id|ไอดี)?\s*[:：]?\s*@?([A-Za-z0-9._-]{4,20})", re.I, None),
+    ("social_handle", "[SOCIAL_HANDLE]", r"(?:facebook\.com|fb\.com|instagram\.com|twitter\.com|x\.com)/([A-Za-z0-9._-]{3,})", re.I, None),
 )
-_THAI = [(kind, marker, re.compile(pattern), guard) for kind, marker, pattern, guard in THAI_RULES]
+_THAI = [(kind, marker, re.compile(pattern, flags), guard) for kind, marker, pattern, flags, guard in THAI_RULES]
 
 
 def redact_thai(text: str) -> tuple[str, dict[str, int]]:
@@ -85,8 +89,8 @@ def _near(text: str, m: re.Match, cue: re.Pattern, radius: int, group: int = 0)
 
 
 # Patterns, cues and triggers of the international rules.
-_SSN_CUE = re.compile(r"(?i)\bssn\b|\bsocial\s+security(?:\s+number)?\b|\btaxpayer\s+id\b")
-_CARD_CUE = re.compile(r"(?i)credit\s*card|debit\s*card|card\s*(?:number|no\.?|#)|visa|mastercard|amex|payment\s*card")
+_SSN_CUE = re.compile(r"(?i)(?:\bssn\b|\bsocial\s+security(?:\s+number)?\b|\btaxpayer\s+id\b)")
+_CARD_CUE = re.compile(r"(?i)(?:credit\s*card|debit\s*card|card\s*(?:number|no\.?|#)|visa|mastercard|amex|payment\s*card)")
 _PHONE_CUE = re.compile(r"(?i)\b(?:phone|telephone|tel|mobile|cell|call|contact|fax)\b")
 _SSN_WORDS = ("ssn", "social security", "taxpayer id")
 _CARD_WORDS = ("credit card", "creditcard", "debit card", "card number", "card no", "visa", "mastercard", "amex", "payment card")
@@ -247,7 +251,7 @@ def _udf(redact):
             rows.append((found[0], found[1], found[2] if len(found) > 2 else []))
         return pd.DataFrame(rows, columns=["text", "counts", "events"])
 
-    return run
+    return run.asNondeterministic()
 
 
 def redacted(text: Column, kind: str) -> Column:
@@ -255,9 +259,33 @@ def redacted(text: Column, kind: str) -> Column:
     return _udf({"thai": redact_thai, "international": redact_international, "secrets": redact_secrets}[kind])(text)
 
 
-#: The first Thai rule as a plain Spark expression.
-EMAIL = THAI_RULES[0][2]
+def _scan(text: str | None) -> tuple[str | None, str | None, bool, bool, int]:
+    """(hash before, hash after, changed, dropped, bytes after) of a text: secrets first, then personal data of what they left."""
+    if text is None:
+        return None, None, False, True, 0
+    before, kept = digest_of(text), redact_secrets(text)[0]
+    if kept is None:
+        return before, None, True, True, 0
+    clean = redact_international(kept)[0]
+    changed = clean != text
+    return before, digest_of(clean) if changed else before, changed, False, len(clean.encode("utf-8", "surrogatepass"))
+
+
+SCANNED = T.StructType(
+    [T.StructField("before", T.StringType()), T.StructField("after", T.StringType()), T.StructField("changed", T.BooleanType()), T.StructField("dropped", T.BooleanType()), T.StructField("bytes", T.LongType())]
+)
+
+
+@F.pandas_udf(SCANNED)
+def _scanned(texts: pd.Series) -> pd.DataFrame:
+    return pd.DataFrame([_scan(x) for x in texts], columns=["before", "after", "changed", "dropped", "bytes"])
+
+
+def scanned(text: Column) -> Column:
+    """struct(before, after, changed, dropped, bytes) from one pass over each text; no text leaves the worker."""
+    return _scanned.asNondeterministic()(text)
 
 
+#: The first Thai rule is also a plain Spark expression.
 def email_redacted(text: Column) -> Column:
     return F.regexp_replace(text, EMAIL, F.lit("[EMAIL]"))

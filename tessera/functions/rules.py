@@ -27,11 +27,19 @@ THAI_SPAM = {
     "adult": r"(?iu)หนังโป๊|คลิปหลุด|หีสวย|xxx[\t-\r\x1c-\x20\x85\u00a0]*ไทย",
 }
 THAI_AUDIT = {
+    "gambling": THAI_SPAM["gambling"],
+    "lottery": THAI_SPAM["lottery"],
+    "adult": r"(?iu)หนังโป๊|คลิปหลุด|หีสวย|เย็ด|xxx[\t-\r\x1c-\x20\x85\u00a0]*ไทย",
     "seo_spam": r"(?iu)รับทำ[\t-\r\x1c-\x20]*seo|โปรโมทเว็บ|ซื้อขาย[\t-\r\x1c-\x20]*backlink|รับจ้างเขียนบทความ",
     "boilerplate": r"ข้ามไปยังเนื้อหา|เมนูหลัก|ลิขสิทธิ์[^\n]{0,20}สงวนไว้|คุกกี้[^\n]{0,30}ยอมรับ",
 }
 
 
+def matched_terms(text: Column, pattern: str, most: int = 5) -> Column:
+    """The first different matches of a pattern, sorted."""
+    return F.slice(F.array_sort(F.array_distinct(F.regexp_extract_all(text, F.lit(pattern), 0))), 1, most)
+
+
 def mark_repeats(df: DataFrame, key: str, order: str, among: Column, out: str) -> DataFrame:
     """Adds out: true for rows of ``among`` whose key an earlier row of ``among`` has (order must be unique).
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import unicodedata
 
 import pandas as pd
@@ -23,7 +24,8 @@ def _normal_form(form: str):
     def normal(texts: pd.Series) -> pd.Series:
         return pd.Series([None if t is None else unicodedata.normalize(form, t) for t in texts], dtype=object)
 
-    return normal
+    # Marked so that the optimizer never makes two calls of one: a text is put in form once a query.
+    return normal.asNondeterministic()
 
 
 def normal_form(text: Column, form: str) -> Column:
@@ -31,6 +33,21 @@ def normal_form(text: Column, form: str) -> Column:
     return F.coalesce(_normal_form(form)(F.when(text.rlike(r"[^\x00-\x7F]"), text)), text)
 
 
+def hashed_text(text: str | None) -> str | None:
+    """normalise() in Python, for workers that hold the text already."""
+    return None if text is None else " ".join(unicodedata.normalize("NFC", text).split())
+
+
+def search_text(text: str | None) -> str | None:
+    """search_form() in Python."""
+    return None if text is None else " ".join(unicodedata.normalize("NFKC", text).lower().split())
+
+
+def digest_of(text: str | None) -> str | None:
+    """doc_hash() in Python."""
+    return None if text is None else hashlib.sha256(hashed_text(text).encode("utf-8", "surrogatepass")).hexdigest()
+
+
 def collapse(text: Column) -> Column:
     """Runs of white space become one space; none at either end."""
     return F.trim(F.regexp_replace(text, f"[{WS}]+", " "))

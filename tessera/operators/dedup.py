@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import hashlib
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -10,13 +10,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.operators.ngrams import CAP_CHARS, N, capped_form
+from tessera.functions.text import search_text
+from tessera.operators.ngrams import CAP_CHARS, N
+from tessera.sources.shared import stored
 
 #: Of near duplicates; at a larger stride an insertion of another length than its multiples changes every later window.
 STRIDE = 1
 HASHES = 32
 BANDS = 8
 PRIME = 2**31 - 1
+#: A window's hash is that of its code points as a polynomial in this base modulo PRIME.
+BASE = 1_203_946_529
 #: a and b of each permutation h -> (a * h + b) mod PRIME.
 _RNG = np.random.default_rng(20_260_821)
 A = _RNG.integers(1, PRIME, HASHES, dtype=np.int64).tolist()
@@ -24,27 +28,44 @@ B = _RNG.integers(0, PRIME, HASHES, dtype=np.int64).tolist()
 
 
 def exact_survivors(docs: DataFrame, key: str, order: str) -> DataFrame:
-    """The first row of each key, in the order of a unique column; the aggregate combines before it shuffles."""
-    return docs.join(docs.groupBy(F.col(key).alias("_k")).agg(F.min(order).alias("_first")), (F.col(key) == F.col("_k")) & (F.col(order) == F.col("_first")), "left_semi")
+    """The first row of each key, in the order of a unique column: one aggregate, which combines before it shuffles."""
+    row = F.struct(order, *[c for c in docs.columns if c != order])
+    return docs.groupBy(F.col(key).alias("_k")).agg(F.min_by(row, order).alias("_row")).select(*[F.col(f"_row.{c}").alias(c) for c in docs.columns])
 
 
-def _signature(text: str | None, n: int, stride: int) -> list[int] | None:
-    text = text or ""
-    if len(text) < n:
-        return None
-    grams = {text[i : i + n] for i in range(0, len(text) - n + 1, stride)}
-    h = np.array([int(hashlib.md5(g.encode("utf-8", "surrogatepass")).hexdigest()[:8], 16) & PRIME for g in grams], dtype=np.int64)
-    return [int(((a * h + b) % PRIME).min()) for a, b in zip(A, B, strict=True)]
+@lru_cache(maxsize=8)
+def _powers(base: int, size: int) -> np.ndarray:
+    """The first size (a power of two) powers of base modulo PRIME."""
+    out = np.ones(1, np.int64)
+    while len(out) < size:
+        out = np.concatenate([out, out * pow(base, len(out), PRIME) % PRIME])
+    return out
+
 
+def window_hashes(text: str, n: int, stride: int) -> np.ndarray:
+    """31-bit hashes of all windows of n code points at multiples of stride."""
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+    size = 1 << max(10, len(points).bit_length())
+    sums = np.concatenate([[0], np.cumsum(points * _powers(BASE, size)[: len(points)] % PRIME)])
+    at = np.arange(0, len(points) - n + 1, stride)
+    return (sums[at + n] - sums[at]) % PRIME * _powers(pow(BASE, -1, PRIME), size)[at] % PRIME
 
-def signatures(text: Column, n: int = N, stride: int = STRIDE) -> Column:
-    """32 minima of permuted 31-bit gram hashes; null for a text without a window."""
 
+def signature(text: str | None, n: int = N, stride: int = STRIDE, cap: int | None = CAP_CHARS) -> list[int] | None:
+    """32 minima of permuted window hashes of a raw text in search form; null for a text without a window."""
+    form = search_text(text[:cap] if text and cap else text) or ""
+    if len(form) < n:
+        return None
+    h = window_hashes(form, n, stride)
+    return [int(((h * a + b) % PRIME).min()) for a, b in zip(A, B, strict=True)]
+
+
+def signatures(text: Column, n: int = N, stride: int = STRIDE, cap: int | None = CAP_CHARS) -> Column:
     @F.pandas_udf(T.ArrayType(T.LongType()))
     def made(texts: pd.Series) -> pd.Series:
-        return pd.Series([_signature(t, n, stride) for t in texts], dtype=object)
+        return pd.Series([signature(t, n, stride, cap) for t in texts], dtype=object)
 
-    return made(text)
+    return made.asNondeterministic()(text)
 
 
 def near_duplicates(docs: DataFrame, order: str, text: Column, n: int = N, stride: int = STRIDE, cap: int | None = CAP_CHARS) -> DataFrame:
@@ -53,12 +74,15 @@ def near_duplicates(docs: DataFrame, order: str, text: Column, n: int = N, strid
     All rows put all their bands down, so the result does not depend on how a scan meets them; a scan that stops at a row's
     first match finds a subset of these.
     """
+    # Written once: both sides of the join read it, and each text is hashed once.
+    return shared_bands(stored(docs.select(F.col(order), signatures(text, n, stride, cap).alias("signature")), "signatures"), order)
+
+
+def shared_bands(signed: DataFrame, order: str) -> DataFrame:
+    """near_duplicates of rows whose signature is a column already."""
     rows = HASHES // BANDS
-    made = docs.select(F.col(order).alias("_id"), signatures(capped_form(text, cap), n, stride).alias("s")).where("s is not null")
-    # Both uses of the signatures read this exchange, so each text is hashed once.
-    made = made.repartition("_id")
-    bands = F.array(*[F.struct(F.lit(b).alias("band"), F.slice("s", b * rows + 1, rows).alias("key")) for b in range(BANDS)])
-    placed = made.select("_id", F.inline(bands))
+    bands = F.array(*[F.struct(F.lit(b).alias("band"), F.slice("signature", b * rows + 1, rows).alias("key")) for b in range(BANDS)])
+    placed = signed.where("signature is not null").select(F.col(order).alias("_id"), F.inline(bands))
     first = placed.groupBy("band", "key").agg(F.min("_id").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
     hits = placed.join(first, ["band", "key"]).where("_id > first")
     return hits.groupBy("_id").agg(F.min_by("first", "band").alias("duplicate_of")).withColumnRenamed("_id", order)

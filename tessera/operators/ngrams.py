@@ -1,27 +1,34 @@
 """Character n-grams: an index of benchmark texts, and documents that share windows with it.
 
 Windows are compared by a 64-bit polynomial hash over code points, made for a whole text at once in numpy, so a text costs time in
-proportion to its length. A small index travels to the executors; a large one is joined.
+proportion to its length. An index of a checked size travels to the executors as sorted longs; of a larger one a Bloom
+filter does, whose size is fixed, and only the windows that pass it are joined with the index.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.functions.text import search_form
+from tessera.functions.text import search_text
+from tessera.sources.shared import stored
 
 N = 64
 STRIDE = 8
 CAP_CHARS = 40_000
 MIN_HITS = 2
-#: Grams up to which an index is sent to every executor (8 bytes each); beyond it, grams are shuffled to it.
-SENT_INDEX = 4_000_000
+#: Bytes of an index up to which it is sent to every executor whole, 8 a gram.
+SENT_BYTES = 256 << 20
+#: Bits of the Bloom filter of a larger one, in 256 slices by a gram's first byte: 256 MB.
+BLOOM_BITS = 1 << 31
+_SLICES = 256
 _U = np.uint64
 _BASE = 0x2545F4914F6CDD1D
 
@@ -50,77 +57,138 @@ def gram_hashes(text: str | None, n: int = N, stride: int = 1) -> np.ndarray:
     return _spread((sums[at + n] - sums[at]) * _powers(size, True)[at]).view(np.int64)
 
 
-def _hash_udf(n: int, stride: int, distinct: bool):
-    @F.pandas_udf(T.ArrayType(T.LongType()))
-    def hashes(texts: pd.Series) -> pd.Series:
-        made = (gram_hashes(t, n, stride) for t in texts)
-        return pd.Series([np.unique(h) if distinct else h for h in made], dtype=object)
+def search_grams(text: str | None, n: int, stride: int, cap: int | None = None) -> np.ndarray:
+    """The hashes of a raw text's first cap characters (all without a cap) in search form."""
+    return gram_hashes(search_text(text[:cap] if text and cap else text), n, stride)
+
 
-    return hashes
+def hashes(text: Column, n: int = N, stride: int = STRIDE, cap: int | None = CAP_CHARS, distinct: bool = False) -> Column:
+    """An array column of all windows' hashes of a raw text; each once with ``distinct``."""
 
+    @F.pandas_udf(T.ArrayType(T.LongType()))
+    def made(texts: pd.Series) -> pd.Series:
+        found = (search_grams(t, n, stride, cap) for t in texts)
+        return pd.Series([np.unique(h) if distinct else h for h in found], dtype=object)
 
-def capped_form(text: Column, cap: int | None = CAP_CHARS) -> Column:
-    """The raw text's first cap characters, then its search form."""
-    return search_form(F.substring(text, 1, cap) if cap else text)
+    return made.asNondeterministic()(text)
 
 
 def gram_index(items: DataFrame, text: Column, name: Column, n: int = N) -> DataFrame:
     """(benchmark, gram): every distinct window of every item, stride 1."""
-    rows = items.select(name.alias("benchmark"), _hash_udf(n, 1, True)(search_form(text)).alias("grams"))
+    rows = items.select(name.alias("benchmark"), hashes(text, n, 1, None, True).alias("grams"))
     return rows.select("benchmark", F.explode("grams").alias("gram")).distinct()
 
 
 def index_summary(items: DataFrame, text: Column, name: Column, n: int = N) -> DataFrame:
     """(benchmark, items, grams): items with a window at least, and distinct windows; the last row is of all benchmarks."""
-    index = gram_index(items, text, name, n)
-    sized = items.select(name.alias("benchmark"), (F.length(search_form(text)) >= n).cast("long").alias("long_enough"))
-    counts = sized.groupBy("benchmark").agg(F.sum("long_enough").alias("items"))
-    each = index.groupBy("benchmark").agg(F.count("*").alias("grams")).join(counts, "benchmark", "right")
-    every = index.agg(F.countDistinct("gram").alias("grams")).crossJoin(sized.agg(F.coalesce(F.sum("long_enough"), F.lit(0)).alias("items")))
+    rows = stored(items.select(name.alias("benchmark"), hashes(text, n, 1, None, True).alias("grams")), "item-grams")
+    index = rows.select("benchmark", F.explode("grams").alias("gram"))
+    counts = rows.groupBy("benchmark").agg(F.sum((F.size("grams") > 0).cast("long")).alias("items"))
+    each = index.groupBy("benchmark").agg(F.countDistinct("gram").alias("grams")).join(counts, "benchmark", "right")
+    # Two one-row tables.
+    every = index.agg(F.countDistinct("gram").alias("grams")).crossJoin(counts.agg(F.coalesce(F.sum("items"), F.lit(0)).alias("items")))
     return each.select("benchmark", "items", F.coalesce("grams", F.lit(0)).alias("grams")).unionByName(every.select(F.lit("all").alias("benchmark"), "items", "grams"))
 
 
-def window_hits(docs: DataFrame, index: DataFrame, id_col: str, text: Column, n: int = N, stride: int = STRIDE, cap: int | None = CAP_CHARS, sent_index: int = SENT_INDEX) -> DataFrame:
-    """(id, hits): how many windows of each document (occurrences, not different ones) are in the index; 0 included."""
-    grams = index.select("gram").distinct()
-    form = capped_form(text, cap)
-    if grams.limit(sent_index + 1).count() <= sent_index:
-        known = np.sort(np.array([r[0] for r in grams.collect()], dtype=np.int64))
-        sent = docs.sparkSession.sparkContext.broadcast(known)
+def _places(grams: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """The two bits of each gram in the slice of its first byte."""
+    x, per = grams.view(_U), _U(bits // _SLICES)
+    return ((x << _U(8)) >> _U(20)) % per, _spread(x) % per
+
 
-        @F.pandas_udf(T.LongType())
-        def hits(texts: pd.Series) -> pd.Series:
-            table = sent.value
+def bloom(grams: DataFrame, bits: int = BLOOM_BITS) -> np.ndarray:
+    """A filter of ``bits`` bits over a column gram, made slice by slice on the executors; bits / 8 bytes reach the driver."""
+    per = bits // _SLICES
 
-            def count(t) -> int:
-                h = gram_hashes(t, n, stride)
-                if not len(h) or not len(table):
-                    return 0
-                return int((table[np.minimum(np.searchsorted(table, h), len(table) - 1)] == h).sum())
+    def slice_(table: pa.Table) -> pa.Table:
+        values = table["gram"].to_numpy()
+        mask = np.zeros(per, bool)
+        for place in _places(values, bits):
+            mask[place.astype(np.int64)] = True
+        packed = np.packbits(mask, bitorder="little").tobytes()
+        return pa.table({"slot": pa.array([int(values.view(_U)[0] >> _U(56))], pa.int32()), "bits": pa.array([packed], pa.binary())})
+
+    slot = F.shiftrightunsigned("gram", 56).cast("int")
+    out = np.zeros(bits // 8, np.uint8)
+    for row in grams.withColumn("slot", slot).groupBy("slot").applyInArrow(slice_, "slot int, bits binary").toLocalIterator():
+        out[row.slot * (per // 8) : (row.slot + 1) * (per // 8)] = np.frombuffer(row.bits, np.uint8)
+    return out
+
+
+def passes(table: np.ndarray, grams: np.ndarray) -> np.ndarray:
+    bits = len(table) * 8
+    base = (grams.view(_U) >> _U(56)) * _U(bits // _SLICES)
+    out = np.ones(len(grams), bool)
+    for place in _places(grams, bits):
+        at = base + place
+        out &= (table[(at >> _U(3)).astype(np.int64)] >> (at & _U(7)).astype(np.uint8)) & 1 == 1
+    return out
 
-            return pd.Series([count(t) for t in texts], dtype="int64")
 
-        return docs.select(F.col(id_col), hits(form).alias("hits"))
-    found = docs.select(F.col(id_col), F.explode(_hash_udf(n, stride, False)(form)).alias("gram"))
-    found = found.groupBy(id_col, "gram").agg(F.count("*").alias("times")).join(grams, "gram").groupBy(id_col).agg(F.sum("times").alias("hits"))
-    return docs.select(id_col).join(found, id_col, "left").select(id_col, F.coalesce("hits", F.lit(0)).alias("hits"))
+def hit_counter(index: DataFrame, n: int = N, stride: int = STRIDE, cap: int | None = CAP_CHARS, sent_bytes: int = SENT_BYTES) -> Callable[[str | None], int] | None:
+    """A function that counts a text's windows in an index that is sent whole; None for an index above sent_bytes."""
+    grams = stored(index.select("gram").distinct(), "grams")
+    if grams.count() * 8 > sent_bytes:
+        return None
+    sent = index.sparkSession.sparkContext.broadcast(np.sort(grams.toArrow()["gram"].to_numpy()))
+
+    def count(text: str | None) -> int:
+        table, h = sent.value, search_grams(text, n, stride, cap)
+        if not len(h) or not len(table):
+            return 0
+        return int((table[np.minimum(np.searchsorted(table, h), len(table) - 1)] == h).sum())
+
+    return count
+
+
+def window_hits(docs: DataFrame, index: DataFrame, id_col: str, text: Column, n: int = N, stride: int = STRIDE, cap: int | None = CAP_CHARS, sent_bytes: int = SENT_BYTES, bloom_bits: int = BLOOM_BITS) -> DataFrame:
+    """(id, hits): how many windows of each document (occurrences, not different ones) are in the index; 0 included."""
+    count = hit_counter(index, n, stride, cap, sent_bytes)
+    if count is not None:
+        hits = F.pandas_udf(lambda texts: pd.Series([count(t) for t in texts], dtype="int64"), T.LongType()).asNondeterministic()
+        return docs.select(F.col(id_col), hits(text).alias("hits"))
+    grams = stored(index.select("gram").distinct(), "grams")
+    sent = docs.sparkSession.sparkContext.broadcast(bloom(grams, bloom_bits))
+
+    @F.pandas_udf(T.ArrayType(T.LongType()))
+    def likely(texts: pd.Series) -> pd.Series:
+        found = (search_grams(t, n, stride, cap) for t in texts)
+        return pd.Series([h[passes(sent.value, h)] for h in found], dtype=object)
+
+    # Rows are written once: the windows that passed are few, and every row is needed again for its zero.
+    rows = stored(docs.select(F.col(id_col).alias("_id"), likely.asNondeterministic()(text).alias("grams")), "likely")
+    found = rows.select("_id", F.explode("grams").alias("gram")).groupBy("_id", "gram").agg(F.count("*").alias("times")).join(grams, "gram").groupBy("_id").agg(F.sum("times").alias("hits"))
+    return rows.select("_id").join(found, "_id", "left").select(F.col("_id").alias(id_col), F.coalesce("hits", F.lit(0)).alias("hits"))
 
 
 def attribution(flagged: DataFrame, index: DataFrame, id_col: str, text: Column, n: int = N, stride: int = 1, cap: int | None = CAP_CHARS) -> DataFrame:
     """(id, benchmark, hits) of documents flagged before: the windows of each benchmark that they hold."""
-    rows = flagged.select(F.col(id_col), F.explode(_hash_udf(n, stride, False)(capped_form(text, cap))).alias("gram"))
+    rows = flagged.select(F.col(id_col), F.explode(hashes(text, n, stride, cap)).alias("gram"))
     counted = rows.groupBy(id_col, "gram").agg(F.count("*").alias("times"))
     return counted.join(index, "gram").groupBy(id_col, "benchmark").agg(F.sum("times").alias("hits"))
 
 
 def sensitivity(docs: DataFrame, items: DataFrame, id_col: str, text: Column, item_text: Column, sizes=(32, 50, 64), strides=(1, 8), thresholds=(1, 2, 5, 10, 20, 50), cap: int | None = CAP_CHARS) -> DataFrame:
-    """(gram, stride, docs, at_least_k...) for each size and stride: how many documents reach each number of hits."""
-    out = None
-    for n in sizes:
-        index = gram_index(items, item_text, F.lit("all"), n)
-        for stride in strides:
-            hits = window_hits(docs, index, id_col, text, n, stride, cap)
-            row = hits.agg(F.count("*").alias("docs"), *[F.count_if(F.col("hits") >= k).alias(f"at_least_{k}") for k in thresholds])
-            row = row.select(F.lit(n).alias("gram"), F.lit(stride).alias("stride"), "*")
-            out = row if out is None else out.unionByName(row)
-    return out
+    """(gram, stride, docs, at_least_k...) for each size and stride: how many documents reach each number of hits.
+
+    Each text is put in search form once and met by all indexes in one pass, while each of them can be sent.
+    """
+    grid = [(n, stride) for n in sizes for stride in strides]
+    indexes = {n: gram_index(items, item_text, F.lit("all"), n) for n in sizes}
+    counters = {(n, stride): hit_counter(indexes[n], n, stride, cap, SENT_BYTES // len(sizes)) for n, stride in grid}
+    if all(counters.values()):
+
+        def count(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            for texts in batches:
+                yield pd.Series([[counters[g](t) for g in grid] for t in texts], dtype=object)
+
+        rows = docs.select(F.pandas_udf(count, T.ArrayType(T.LongType())).asNondeterministic()(text).alias("hits"))
+        cells = rows.select(F.posexplode("hits").alias("cell", "hits"))
+    else:
+        parts = [window_hits(docs, indexes[n], id_col, text, n, stride, cap).select(F.lit(i).alias("cell"), "hits") for i, (n, stride) in enumerate(grid)]
+        cells = parts[0]
+        for part in parts[1:]:
+            cells = cells.unionByName(part)
+    sums = cells.groupBy("cell").agg(F.count("*").alias("docs"), *[F.count_if(F.col("hits") >= k).alias(f"at_least_{k}") for k in thresholds])
+    named = [F.element_at(F.array(*[F.lit(g[i]) for g in grid]), F.col("cell") + 1).alias(name) for i, name in enumerate(("gram", "stride"))]
+    return sums.select(*named, "docs", *[f"at_least_{k}" for k in thresholds])

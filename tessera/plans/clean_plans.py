@@ -48,7 +48,7 @@ def drop_accounting_by_source(spark, sf_dir):
 
 
 def exact_dedup(spark, sf_dir):
-    return dedup.exact_survivors(hashed(spark, sf_dir).select("doc_id", "doc_sha256"), "doc_sha256", "doc_id")
+    return dedup.exact_survivors(hashed(spark, sf_dir).select("doc_id", "doc_sha256"), "doc_sha256", "doc_id").select("doc_id", "doc_sha256")
 
 
 def first_matching_rule(spark, sf_dir):

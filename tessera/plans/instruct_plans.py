@@ -11,8 +11,6 @@ from tessera.operators import ngrams
 from tessera.sources.tables import table
 
 MIN_OUTPUT = 8
-#: Of the SQL alone.
-CAP = 20_000
 #: Dealt to pairs by conversation, in the place of a licence and a rating column.
 LICENCES = ("cc-by-4.0", "mit", "cc-by-nc-4.0", "Apache-2.0")
 MIN_RATING = 3
@@ -31,7 +29,7 @@ def pairs(spark, sf_dir):
 def fates(spark, sf_dir):
     rows = pairs(spark, sf_dir)
     text = t.render_turns(F.col("instruction"), F.col("output"))
-    rows = rows.withColumns({"text": text, "doc_sha256": t.doc_hash(text), "place": F.col("conv_id") * 100_000 + F.col("turn")})
+    rows = rows.withColumns({"text": text, "doc_sha256": t.doc_hash(text), "place": F.struct("conv_id", "turn")})
     before = [
         ("dropped_licence", ~t.instruction_licence_allowed(F.col("licence"))),
         ("dropped_rating", F.col("rating").isNull() | (F.col("rating") < MIN_RATING)),
@@ -65,7 +63,7 @@ WITH {_PAIRS},
 r AS (SELECT *, concat_ws(chr(10) || chr(10), nullif(trim(instruction), ''), nullif(trim(output), '')) AS text FROM p),
 h AS (SELECT *, sha256(trim(regexp_replace(nfc_normalize(text), '[{t.SQL_WS}]+', ' ', 'g'))) AS doc_sha256, CASE WHEN licence = 'cc-by-nc-4.0' THEN 'dropped_licence'
   WHEN rating IS NULL OR rating < {MIN_RATING} THEN 'dropped_rating' WHEN trim(instruction) = '' OR length(output) < {MIN_OUTPUT} THEN 'dropped_empty' END AS early FROM r),
-f AS (SELECT *, trim(regexp_replace(lower(substr(text, 1, {CAP})), '\\s+', ' ', 'g')) AS s, row_number() OVER (PARTITION BY early IS NULL, doc_sha256 ORDER BY conv_id, turn) AS n FROM h),
+f AS (SELECT *, trim(regexp_replace(lower(text), '\\s+', ' ', 'g')) AS s, row_number() OVER (PARTITION BY early IS NULL, doc_sha256 ORDER BY conv_id, turn) AS n FROM h),
 items AS (SELECT DISTINCT unnest(list_transform(range(0, length(f) - 63), lambda i: substr(f, i + 1, 64))) AS g FROM (SELECT trim(regexp_replace(lower(text), '\\s+', ' ', 'g')) AS f FROM benchmark)),
 w AS (SELECT DISTINCT conv_id, turn FROM (SELECT conv_id, turn, unnest(list_transform(range(0, length(s) - 63), lambda i: substr(s, i + 1, 64))) AS g FROM f) WHERE g IN (SELECT g FROM items))
 SELECT f.conv_id, f.turn, doc_sha256, coalesce(early, CASE WHEN n > 1 THEN 'dropped_dup' WHEN w.conv_id IS NOT NULL THEN 'dropped_decon' WHEN ('0x' || substr(doc_sha256, 1, 8))::BIGINT % 100 = 0 THEN 'kept_heldout' END, 'kept_train') AS fate

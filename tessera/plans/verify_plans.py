@@ -2,30 +2,17 @@
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
-import uuid
-
 from pyspark.sql import functions as F
 
 from tessera.functions import text as t
 from tessera.operators import audit, budget
 from tessera.plans.clean_plans import _CASCADE, cascade
 from tessera.plans.text_plans import HASH, NUMBER, hashed
+from tessera.sources.shared import shared_path
 from tessera.sources.tables import table
 from tessera.streaming.incremental import new_documents
 
 
-def _shared(spark, label: str) -> str:
-    """A new folder under spark.checkpoint.dir, which all executors share; a local one only where that is unset."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="tessera-")
-        atexit.register(shutil.rmtree, root, ignore_errors=True)
-    return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
-
-
 def verify_report(spark, sf_dir):
     docs = hashed(spark, sf_dir)
     checks = {"empty": F.length("text") == 0, "heldout": t.is_heldout(F.col("doc_sha256")), "length_mismatch": F.length("text") != F.col("n_chars")}
@@ -58,7 +45,7 @@ def mixture_violations(spark, sf_dir):
 def incremental_dedup(spark, sf_dir):
     """The hashes that a stream over the documents' files keeps: those of exact_dedup."""
     schema = table(spark, sf_dir, "documents").schema
-    found = new_documents(spark, f"{sf_dir}/documents.parque[t]", schema, t.doc_hash(F.col("text")), _shared(spark, "intake"), _shared(spark, "intake-state"))
+    found = new_documents(spark, f"{sf_dir}/documents.parque[t]", schema, t.doc_hash(F.col("text")), shared_path(spark, "intake"), shared_path(spark, "intake-state"))
     return found.select("doc_sha256")
 
 

@@ -1,6 +1,7 @@
 import hashlib
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -98,10 +99,24 @@ def test_hits_count_windows_by_either_way(spark):
     grams = {bench[k : k + 64] for k in range(len(bench) - 63)}
     want = {i: sum((s or "")[k : k + 64] in grams for k in range(0, len(s or "") - 63, 8)) for i, s in docs}
     for sent in (10**6, 0):
-        got = {r.i: r.hits for r in ngrams.window_hits(df, index, "i", F.col("s"), sent_index=sent).collect()}
+        got = {r.i: r.hits for r in ngrams.window_hits(df, index, "i", F.col("s"), sent_bytes=sent, bloom_bits=1 << 16).collect()}
         assert got == want and want[1] > 2 and want[4] == 1 and want[5] == 0
 
 
+def test_bloom_filter_passes_all_members_and_few_others(spark):
+    rng = np.random.default_rng(2)
+    grams = rng.integers(-(2**63), 2**63, 5_000, dtype=np.int64)
+    table = ngrams.bloom(spark.createDataFrame([(int(g),) for g in grams], "gram long"), 1 << 17)
+    assert ngrams.passes(table, grams).all()
+    assert ngrams.passes(table, rng.integers(-(2**63), 2**63, 20_000, dtype=np.int64)).mean() < 0.02
+
+
+def test_window_hashes_match_their_definition():
+    text, n = "añb😀" * 40, 64
+    want = [sum(ord(c) * pow(dedup.BASE, j, dedup.PRIME) for j, c in enumerate(text[i : i + n])) % dedup.PRIME for i in range(0, len(text) - n + 1, 3)]
+    assert dedup.window_hashes(text, n, 3).tolist() == want
+
+
 def test_near_duplicates_form_a_chain(spark):
     rng = random.Random(4)
     words = [rng.choice(["alpha", "beta", "gamma", "delta", "omega"]) + str(rng.randint(0, 99)) for _ in range(400)]
