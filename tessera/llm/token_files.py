@@ -20,12 +20,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import map_slices, shared_path, stored
+from tessera.llm.common import map_slices, partitions_for, shared_path, stored
 from tessera.llm.files import attempt_name, filesystem, make_dir
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 2
 READ_BYTES = 8 << 20
+#: A file's bytes, and those of a run of records that one reader takes.
+FILE_BYTES = 512 << 20
+STRETCH_BYTES = 32 << 20
+STRETCHES_PER_TASK = 4
+STRETCHES = "part int, stretch int, file string, index_file string, begin long, end long, first_record long, n_docs long, n_tokens long"
 _HEAD, _BODY = struct.Struct("<QI"), struct.Struct("<qBB")
 
 
@@ -149,12 +154,15 @@ def encoder_for(path: str) -> WordEncoder:
     return _encoders[path]
 
 
-def write_tokens(docs: DataFrame, out: str, tokenizer_path: str | None = None, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Writes every row of docs in ascending order of id to files in ``out``; returns their table, one row a file.
+def write_tokens(
+    docs: DataFrame, out: str, tokenizer_path: str | None = None, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text", file_bytes: int = FILE_BYTES, stretch_bytes: int = STRETCH_BYTES
+) -> DataFrame:
+    """Writes every row of docs in ascending order of id to files in ``out``; returns the table of their stretches.
 
-    (part, file, index_file, n_docs, n_tokens, first_doc, first_token): parts ascend with the ids. A null text is
-    an empty one and holds the end id alone; null ids come first; rows that repeat an id are all written, ordered by a
-    hash of their text. An empty table writes no records. Only the two named columns are read.
+    (part, stretch, file, index_file, begin, end, first_record, n_docs, n_tokens, first_doc, first_token): a stretch is a run of
+    records of one file, bytes begin to end, of about stretch_bytes; files roll at file_bytes. Parts and stretches ascend with
+    the ids. A null text is an empty one and holds the end id alone; null ids come first; rows that repeat an id are all written,
+    ordered by a hash of their text. An empty table writes no records. Only the two named columns are read.
     """
     path = tokenizer_path or public_tokenizers.path(TOKENIZER)
     make_dir(out)
@@ -163,80 +171,94 @@ def write_tokens(docs: DataFrame, out: str, tokenizer_path: str | None = None, e
         from pyspark import TaskContext
 
         where, folder = filesystem(out)
-        name = attempt_name("tokens", ".rec")
-        encoder, offsets, n_tokens, at = encoder_for(path), [], 0, 0
-        with where.open_output_stream(f"{folder}/{name}") as stream:
+        encoder, part = encoder_for(path), TaskContext.get().partitionId()
+        stream, name, number, stretch = None, "", 0, 0
+        offsets: list[int] = []
+        at = begin = first = n_tokens = 0
+
+        def end_stretch() -> pd.DataFrame:
+            nonlocal stretch, begin, first, n_tokens
+            row = (part, stretch, f"{out}/{name}", f"{out}/{name}.idx", begin, at, first, len(offsets) - first, n_tokens)
+            stretch, begin, first, n_tokens = stretch + 1, at, len(offsets), 0
+            return pd.DataFrame([row], columns=[c.split()[0] for c in STRETCHES.split(", ")])
+
+        def end_file() -> None:
+            stream.close()
+            with where.open_output_stream(f"{folder}/{name}.idx") as side:
+                side.write(np.array(offsets, "<u8").tobytes())
+
+        try:
             for batch in batches:
                 ids = [None if pd.isna(i) else int(i) for i in batch["doc_id"]]
                 texts = batch["text"].tolist()
                 for a in range(0, len(texts), 256):
-                    made = []
                     for doc_id, tokens in zip(ids[a : a + 256], encoder.encode(texts[a : a + 256]), strict=True):
+                        if stream is None:
+                            name, number, offsets, at = attempt_name("tokens", f"-{number}.rec"), number + 1, [], 0
+                            begin = first = 0
+                            stream = where.open_output_stream(f"{folder}/{name}", compression=None, buffer_size=1 << 20)
                         record = frame(pack(doc_id, np.append(tokens, end_id), encoder.width))
+                        stream.write(record)
                         offsets.append(at)
                         at += len(record)
                         n_tokens += len(tokens) + 1
-                        made.append(record)
-                    stream.write(b"".join(made))
-        with where.open_output_stream(f"{folder}/{name}.idx") as stream:
-            stream.write(np.array(offsets, "<u8").tobytes())
-        yield pd.DataFrame({"part": [TaskContext.get().partitionId()], "file": [f"{out}/{name}"], "index_file": [f"{out}/{name}.idx"], "n_docs": [len(offsets)], "n_tokens": [n_tokens]})
-
-    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+                        if at - begin >= stretch_bytes or at >= file_bytes:
+                            yield end_stretch()
+                        if at >= file_bytes:
+                            end_file()
+                            stream = None
+            if stream is not None:
+                end_file()
+                stream = None
+                if n_tokens:
+                    yield end_stretch()
+        finally:
+            if stream is not None:
+                stream.close()
+
+    text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    dealt = rows.repartitionByRange(n, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.xxhash64("text"))
-    files = stored(map_slices(dealt, write, "part int, file string, index_file string, n_docs long, n_tokens long"), "token-files")
-    # One row a partition of the write: a window over all of them is small whatever the corpus.
-    before = Window.partitionBy().orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    return files.where("n_docs > 0").withColumns({f"first_{k}": F.coalesce(F.sum(f"n_{k}s").over(before), F.lit(0)).cast("long") for k in ("doc", "token")})
+    order = F.col("doc_id").asc_nulls_first()
+    dealt = rows.repartitionByRange(partitions_for(docs, F.octet_length(text)), order).sortWithinPartitions(order, F.xxhash64("text"))
+    found = stored(map_slices(dealt, write, STRETCHES), "token-files")
+    # One row a stretch of STRETCH_BYTES: a window over all of them is small beside the corpus.
+    before = Window.partitionBy().orderBy("part", "stretch").rowsBetween(Window.unboundedPreceding, -1)
+    return found.withColumns({f"first_{k}": F.coalesce(F.sum(f"n_{k}s").over(before), F.lit(0)).cast("long") for k in ("doc", "token")})
 
 
-def read_tokens(files: DataFrame) -> DataFrame:
-    """(doc_id, position, start, ids) of every record of the files that write_tokens returned, each file read in one stream."""
+def _read_stretches(files: DataFrame, make, rows_at_once: int, ddl: str) -> DataFrame:
+    """The rows that make(body, number of the document, its first token) gives for every record, stretch by stretch."""
+    names = [c.split()[0] for c in ddl.split(", ")]
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for f in batch.itertuples():
                 where, path = filesystem(f.file)
-                rows, held, start = [], 0, f.first_token
-                with where.open_input_stream(path) as stream:
-                    for i, body in enumerate(frames(stream)):
+                rows, held, number, start = [], 0, f.first_doc, f.first_token
+                with where.open_input_file(path) as stream:
+                    for body in frames(stream.get_stream(f.begin, f.end - f.begin)):
                         doc_id, ids = unpack(body)
-                        rows.append((doc_id, f.first_doc + i, start, ids.astype("<u4")))
-                        start += len(ids)
-                        held += len(ids)
-                        if held > 1 << 20:
-                            yield _table(rows)
+                        rows.append(make(doc_id, ids, number, start))
+                        number, start, held = number + 1, start + len(ids), held + len(ids)
+                        if len(rows) >= rows_at_once or held > 1 << 20:
+                            yield pd.DataFrame(rows, columns=names).astype({"doc_id": "Int64"})
                             rows, held = [], 0
                 if rows:
-                    yield _table(rows)
+                    yield pd.DataFrame(rows, columns=names).astype({"doc_id": "Int64"})
 
-    n = int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = files.select("file", "first_doc", "first_token").repartition(n)
-    return map_slices(rows, read, "doc_id long, position long, start long, ids array<long>")
+    stretches = stored(files.select("file", "begin", "end", "first_doc", "first_token"), "stretches")
+    n = max(int(files.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-stretches.count() // STRETCHES_PER_TASK))
+    return map_slices(stretches.repartition(n), read, ddl)
 
 
-def read_digests(files: DataFrame) -> DataFrame:
-    """(doc_id, start, n_tokens, ids_crc32) of every record, without handing the ids on."""
+def read_tokens(files: DataFrame) -> DataFrame:
+    """(doc_id, position, start, ids) of every record of the stretches that write_tokens returned."""
+    return _read_stretches(files, lambda doc_id, ids, number, start: (doc_id, number, start, ids.astype("<u4")), 20_000, "doc_id long, position long, start long, ids array<long>")
 
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for f in batch.itertuples():
-                where, path = filesystem(f.file)
-                rows, start = [], f.first_token
-                with where.open_input_stream(path) as stream:
-                    for body in frames(stream):
-                        doc_id, ids = unpack(body)
-                        rows.append((doc_id, start, len(ids), zlib.crc32(ids.astype("<u4").tobytes())))
-                        start += len(ids)
-                        if len(rows) >= 20_000:
-                            yield pd.DataFrame(rows, columns=["doc_id", "start", "n_tokens", "ids_crc32"]).astype({"doc_id": "Int64"})
-                            rows = []
-                yield pd.DataFrame(rows, columns=["doc_id", "start", "n_tokens", "ids_crc32"]).astype({"doc_id": "Int64"})
 
-    n = int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = files.select("file", "first_token").repartition(n)
-    return map_slices(rows, read, "doc_id long, start long, n_tokens long, ids_crc32 long")
+def read_digests(files: DataFrame) -> DataFrame:
+    """(doc_id, start, n_tokens, ids_crc32) of every record, without handing the ids on."""
+    return _read_stretches(files, lambda doc_id, ids, number, start: (doc_id, start, len(ids), zlib.crc32(ids.astype("<u4").tobytes())), 20_000, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def read_at(file: str, index_file: str, numbers: list[int]) -> list[tuple[int | None, np.ndarray]]:
@@ -258,11 +280,6 @@ def read_at(file: str, index_file: str, numbers: list[int]) -> list[tuple[int |
     return out
 
 
-def _table(rows: list) -> pd.DataFrame:
-    frame_ = pd.DataFrame(rows, columns=["doc_id", "position", "start", "ids"])
-    return frame_.astype({"doc_id": "Int64"})
-
-
 def op8_token_files(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return read_digests(write_tokens(docs, shared_path(spark, "tokens")))

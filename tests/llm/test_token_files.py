@@ -46,6 +46,13 @@ def test_round_trip_random_access_and_nulls(spark, tmp_path):
     for f in files.collect():
         back = tf.read_at(f.file, f.index_file, list(range(f.n_docs))[::-1])[::-1]
         assert [b[0] for b in back] == [r.doc_id for r in got if f.first_doc <= r.position < f.first_doc + f.n_docs]
+    # Files of two records, stretches of one.
+    small = tf.write_tokens(docs, f"file://{tmp_path}/s", file_bytes=60, stretch_bytes=1)
+    assert sorted(map(str, tf.read_tokens(small).collect())) == sorted(map(str, got))
+    stretches = small.collect()
+    assert len(stretches) == 5 and all(f.n_docs == 1 for f in stretches) and len({f.file for f in stretches}) >= 3
+    for f in stretches:
+        assert tf.read_at(f.file, f.index_file, [f.first_record])[0][0] == got[f.first_doc].doc_id
     empty = tf.write_tokens(docs.where(F.lit(False)), f"file://{tmp_path}/e")
     assert tf.read_digests(empty).count() == 0
 
