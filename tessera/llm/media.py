@@ -28,6 +28,8 @@ from tessera.llm.files import attempt_name, filesystem, make_dir
 WIDTH = 192
 ARCHIVE_BYTES = 256 << 20
 RANGE_BYTES = 32 << 20
+#: Ranges that are planned at most, beside one for each archive.
+MAX_RANGES = 100_000
 BATCH_BYTES = 4 << 20
 BLOCK = 512
 _MAGIC = b"\x89PNG\r\n\x1a\n"
@@ -174,7 +176,9 @@ class MediaReader(DataSourceReader):
     def partitions(self) -> list[ByteRange]:
         where, folder = filesystem(self.path)
         listed = json.loads(where.open_input_stream(f"{folder}/_manifest.json").read())
-        ranges = [ByteRange(r["name"], at, min(at + self.range_bytes, r["bytes"])) for r in listed for at in range(0, r["bytes"], self.range_bytes)]
+        # The driver holds one entry a range: over many archives ranges grow, their number does not.
+        size = max(self.range_bytes, -(-sum(r["bytes"] for r in listed) // MAX_RANGES))
+        ranges = [ByteRange(r["name"], at, min(at + size, r["bytes"])) for r in listed for at in range(0, r["bytes"], size)]
         return ranges or [ByteRange("", 0, 0)]
 
     def read(self, part: ByteRange) -> Iterator[pa.RecordBatch]:

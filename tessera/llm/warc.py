@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import map_slices, shared_path, stored
+from tessera.llm.common import map_slices, partitions_for, shared_path, stored
 from tessera.llm.files import attempt_name, coalesced, filesystem, make_dir
 
 MIN_REVISIT_BYTES = 1000
@@ -136,7 +136,7 @@ def read_warc(index: DataFrame, with_payload: bool = True, gap: int = READ_GAP,
 
     schema = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long" + ", payload binary" * with_payload
     names = [c.split()[0] for c in schema.split(", ")]
-    n = int(index.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = partitions_for(index, F.col("length"))
     some = index.select("file", "offset", "length", "url").repartitionByRange(n, "file", "offset").sortWithinPartitions("file", "offset")
     return map_slices(some, read, schema, rows=10_000)
 
