@@ -110,22 +110,23 @@ def _features(texts) -> tuple[np.ndarray, np.ndarray]:
 def _measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         _, x = _features(batch["text"])
-        yield pd.DataFrame({"y": batch["y"].to_numpy(), "x": list(x)})
+        yield pd.DataFrame({"_id": batch["_id"], "y": batch["y"].to_numpy(), "hash": batch["hash"], "x": list(x)})
 
 
 def train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, seed: int = SEED, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> boosting.FlatTrees:
     """Trees fitted to the labelled documents, max_labelled at most (the bound of all that reaches the driver).
 
     Labels with a null id or a null label are passed over, as are ids without a document. An id with several labels
-    counts once for each. No labels, or labels of one class, give a model that answers that class (kept if none).
+    counts once for each; of the documents that repeat an id the one of the least text hash counts. No labels, or labels of one class, give a model that answers that class (kept if none).
     """
-    chosen = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull()).select(F.col(id_col).alias("_id"), F.col(label_col).cast("double").alias("y"))
-    chosen = chosen.orderBy(seeded_key(seed, F.col("_id")), "_id", "y").limit(max_labelled)
+    chosen = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull()).select(F.col(id_col).cast("long").alias("_id"), F.col(label_col).cast("double").alias("y"))
+    chosen = chosen.distinct().orderBy(seeded_key(seed, F.col("_id")), "_id", "y").limit(max_labelled)
     chosen = stored(chosen, "labelled")
     # max_labelled rows of two numbers: their size is bounded.
-    rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "_id")
-    found = stored(map_slices(rows.select("text", "y", "_id"), _measure, "y double, x array<double>"), "measured")
-    frame = found.limit(2 * max_labelled).toPandas()
+    rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "_id")
+    found = map_slices(rows.select("text", "y", "_id", F.xxhash64("text").alias("hash")), _measure, "_id long, y double, hash long, x array<double>")
+    # One row a chosen label, combined before the shuffle however many documents repeat its id: max_labelled rows at most.
+    frame = stored(found.groupBy("_id", "y").agg(F.min_by("x", "hash").alias("x")), "measured").select("y", "x").toPandas()
     x = np.array(frame["x"].tolist(), dtype=float).reshape(-1, len(FEATURES))
     y = (frame["y"].to_numpy(dtype=float) > 0.5).astype(float)
     # Rows come in no fixed order; sums are made in a fixed one.
