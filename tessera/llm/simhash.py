@@ -1,12 +1,14 @@
-"""Near duplicates by SimHash, found through tables of distances to reference fingerprints (pivots).
+"""Near duplicates by SimHash, with tables of distances to reference fingerprints (pivots).
 
-The pivots are zero, the 64 fingerprints of one bit, and 16 seeded ones. A fingerprint's distances to zero and to
-the one-bit pivots place it: their differences are one step up or down each, and of six runs of these coordinates
-at least three agree between fingerprints at three or fewer differing bits, so equal runs propose pairs. The distances to
-the seeded pivots are precomputed; a pair with a coordinate difference above the limit is discarded (triangle
-inequality), and survivors are verified bit by bit.
+Every distinct fingerprint's Hamming distances to 16 seeded pivots are computed once and stored with it. A pair that
+shares a block is discarded if any of its 16 coordinates differs by more than the limit (triangle inequality), and survivors
+are verified bit by bit. ``pair_report`` counts the pairs of each step.
 
-Where more than MAX_BUCKET fingerprints share a key, pairs are not listed. Their members meet instead at
+Pivots cannot say which pairs to look at: distances to random pivots lie within a few of 32 for almost all fingerprints, so
+cells of them hold a large share of all rows (README has the figures). That is left to blocks: of six runs of bits at least
+three agree between fingerprints at three or fewer differing bits, so fingerprints with three equal runs are looked at.
+
+Where more than MAX_BUCKET fingerprints share a block, pairs are not listed. Their members meet instead at
 fingerprints within one bit of the one and two bits of the other: whatever reaches a point at two bits is linked to
 the least that reaches it at one. That is exact too, and linear in the number of fingerprints.
 """
@@ -94,13 +96,10 @@ def _coordinate_gap(limit: int):
     return test
 
 
-def near_links(fingerprints: DataFrame, limit: int = MAX_DISTANCE, max_bucket: int = MAX_BUCKET) -> DataFrame:
-    """(a, b): links whose components are those of all pairs of distinct fingerprints at most 3 bits apart.
-
-    fingerprints has one distinct long ``fp`` a row. Every listed link holds two fingerprints of one component.
-    """
+def _blocks(fingerprints: DataFrame, limit: int) -> DataFrame:
+    """(run, key, fp, d0, d1, n) of every block of more than one fingerprint, n of them, with their pivot distances."""
     if limit > RUNS // 2:
-        raise ValueError(f"the runs propose pairs up to {RUNS // 2} differing bits")
+        raise ValueError(f"the runs bring together pairs up to {RUNS // 2} differing bits")
     table = pivot_table(fingerprints)
     keys = []
     for number, chosen in enumerate(combinations(_runs(), RUNS - limit)):
@@ -110,12 +109,38 @@ def near_links(fingerprints: DataFrame, limit: int = MAX_DISTANCE, max_bucket: i
     placed = table.select("fp", "d0", "d1", F.inline(F.array(*keys)))
     sizes = placed.groupBy("run", "key").agg(F.count("*").alias("n")).where("n > 1")
     sizes = stored(sizes, "pivot-keys")
-    shared = stored(placed.join(sizes, ["run", "key"]), "pivot-places")
-    cold, hot = shared.where(F.col("n") <= max_bucket), shared.where(F.col("n") > max_bucket)
+    return stored(placed.join(sizes, ["run", "key"]), "pivot-places")
+
+
+def _pairs(cold: DataFrame) -> DataFrame:
+    """The pairs within each block, both sides with their pivot distances, as x and y."""
     x, y = cold.alias("x"), cold.alias("y")
-    pairs = x.join(y, (F.col("x.run") == F.col("y.run")) & (F.col("x.key") == F.col("y.key")) & (F.col("x.fp") < F.col("y.fp")) & _coordinate_gap(limit))
-    apart = F.bit_count(F.col("x.fp").bitwiseXOR(F.col("y.fp")))
-    links = pairs.where(apart <= limit).select(F.col("x.fp").alias("a"), F.col("y.fp").alias("b")).distinct()
+    return x.join(y, (F.col("x.run") == F.col("y.run")) & (F.col("x.key") == F.col("y.key")) & (F.col("x.fp") < F.col("y.fp")))
+
+
+def _apart():
+    return F.bit_count(F.col("x.fp").bitwiseXOR(F.col("y.fp")))
+
+
+def pair_report(fingerprints: DataFrame, limit: int = MAX_DISTANCE, max_bucket: int = MAX_BUCKET) -> DataFrame:
+    """One row: pairs looked at (once for each block that they share), those that the pivots discard, those verified, and the
+    fingerprints in blocks above max_bucket, which meet without pairs."""
+    shared = _blocks(fingerprints, limit)
+    near = _coordinate_gap(limit)
+    pairs = _pairs(shared.where(F.col("n") <= max_bucket))
+    counts = pairs.agg(F.count("*").alias("looked_at"), F.count_if(~near).alias("discarded"), F.count_if(near & (_apart() <= limit)).alias("verified"))
+    # Two one-row tables.
+    return counts.crossJoin(shared.where(F.col("n") > max_bucket).agg(F.countDistinct("fp").alias("meeting")))
+
+
+def near_links(fingerprints: DataFrame, limit: int = MAX_DISTANCE, max_bucket: int = MAX_BUCKET) -> DataFrame:
+    """(a, b): links whose components are those of all pairs of distinct fingerprints at most 3 bits apart.
+
+    fingerprints has one distinct long ``fp`` a row. Every listed link holds two fingerprints of one component.
+    """
+    shared = _blocks(fingerprints, limit)
+    cold, hot = shared.where(F.col("n") <= max_bucket), shared.where(F.col("n") > max_bucket)
+    links = _pairs(cold).where(_coordinate_gap(limit)).where(_apart() <= limit).select(F.col("x.fp").alias("a"), F.col("y.fp").alias("b")).distinct()
     return links.unionByName(_meeting_links(hot.select("fp").distinct(), limit))
 
 

@@ -86,3 +86,18 @@ def test_chains_stay_whole_in_any_order(spark):
             edges = spark.createDataFrame(links + more, "a long, b long")
             got = {r.node: r.root for r in simhash.components(edges).collect()}
             assert got == {i: 1 for i in range(1, size + 1)} | {n: a for a, b in more for n in (a, b)}
+
+
+def test_pivots_discard_no_near_pair_and_most_others(spark):
+    rng = random.Random(11)
+    fps = {rng.getrandbits(64) for _ in range(200)}
+    for fp in list(fps)[:60]:
+        fps.add(fp ^ (1 << rng.randrange(64)) ^ (1 << rng.randrange(64)))
+    for fp in list(fps)[:40]:  # share three runs, and differ in many other bits
+        fps.add(fp ^ (rng.getrandbits(30) << 33))
+    fps = sorted(fp - (1 << 64) if fp >= 1 << 63 else fp for fp in fps)
+    table = spark.createDataFrame([(fp,) for fp in fps], "fp long")
+    report = simhash.pair_report(table).first()
+    near = {(a, b) for a in fps for b in fps if a < b and bin((a ^ b) & (2**64 - 1)).count("1") <= 3}
+    assert {tuple(sorted(r)) for r in simhash.near_links(table).collect()} == near
+    assert report.verified >= len(near) and report.looked_at >= report.discarded + report.verified and report.discarded > 0
