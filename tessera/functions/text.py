@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import json
 import unicodedata
 
 import pandas as pd
@@ -164,3 +165,18 @@ def answer_index(options: Column, answer: Column) -> Column:
 
 def complete_options(options: Column, answer: Column, keys: Column) -> Column:
     return F.forall(options, lambda o: F.coalesce(F.trim(o), F.lit("")) != "") & F.array_contains(keys, F.trim(answer))
+
+
+def licence_plain(value: Column) -> Column:
+    """The held-out sets' form of a licence: trimmed and lower case, underscores left alone."""
+    return F.lower(F.trim(F.coalesce(value.cast("string"), F.lit(""))))
+
+
+def preview(text: Column, most: int = 400) -> Column:
+    """The first characters of a text, for reading."""
+    return F.substring(text, 1, most)
+
+
+def spec_hash(spec: object) -> str:
+    """SHA-256 of a specification as JSON with sorted keys and no spaces, so that equal ones hash alike."""
+    return hashlib.sha256(json.dumps(spec, sort_keys=True, separators=(",", ":"), ensure_ascii=False).encode()).hexdigest()

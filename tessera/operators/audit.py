@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera.sources.shared import stored
+
 PREFIX = 3
 
 
@@ -105,3 +107,27 @@ def verify(df: DataFrame, digest: str, checks: Mapping[str, Column]) -> DataFram
     counts = df.agg(F.count("*").alias("documents"), *[F.count_if(test).alias(name) for name, test in checks.items()])
     bad = sum((F.col(name) for name in checks), F.col("duplicates"))
     return counts.crossJoin(F.broadcast(copies)).withColumn("verdict", F.when(bad == 0, "PASS").otherwise("FAIL"))
+
+
+def verify_shards(df: DataFrame, shard: list[str], digest: str, checks: Mapping[str, Column], order: str, totals: Mapping[str, Column], claimed: DataFrame) -> DataFrame:
+    """A row for each shard of either side: its failures of each check, later copies of rows anywhere, totals that differ, verdict.
+
+    A copy counts in the shard of every row but the first of its digest, by order. claimed has the shard columns and one
+    for each total. What is checked of a row is reduced to numbers before the copies are looked for, so no text moves.
+    """
+    rows = df.select(*shard, order, F.col(digest).alias("_d"), *[test.cast("int").alias(k) for k, test in checks.items()], *[v.alias(k) for k, v in totals.items()])
+    rows = stored(rows, "checked-rows")
+    first = rows.groupBy("_d").agg(F.min(order).alias("_first"))
+    rows = rows.join(first, "_d").withColumn("copies", (F.col(order) > F.col("_first")).cast("int"))
+    seen = rows.groupBy(*shard).agg(*[F.sum(k).alias(k) for k in (*checks, "copies", *totals)])
+    both = seen.join(claimed.select(*shard, *[F.col(k).alias(f"{k}_claimed") for k in totals]), shard, "full")
+    off = sum(((~F.col(k).eqNullSafe(F.col(f"{k}_claimed"))).cast("int") for k in totals), F.lit(0))
+    counts = [F.coalesce(k, F.lit(0)).cast("long").alias(k) for k in (*checks, "copies")]
+    out = both.select(*shard, *counts, off.cast("long").alias("totals_off"))
+    bad = sum((F.col(k) for k in (*checks, "copies", "totals_off")), F.lit(0))
+    return out.withColumn("verdict", F.when(bad == 0, "PASS").otherwise("FAIL"))
+
+
+def recount(sample: DataFrame, group: str, recorded: str, counted: Column) -> DataFrame:
+    """(group, sampled, mismatches): recorded token counts of a sample against a fresh count."""
+    return sample.groupBy(group).agg(F.count("*").alias("sampled"), F.count_if(~F.col(recorded).eqNullSafe(counted)).alias("mismatches"))

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.operators.prefix import running_sum
+from tessera.operators.prefix import least_per_key, running_sum
 
 
 def take_until(df: DataFrame, tokens: str, target: Column, order: list[str], groups: list[str]) -> DataFrame:
@@ -69,10 +71,15 @@ def packed(df: DataFrame, tokens: str, order: list[str], length: int) -> DataFra
 
 
 def stratified_order(n: int, anchors: int = 8) -> list[int]:
-    """All shard numbers once, anchors spread over the range first."""
-    spread = min(n, anchors)
-    first = [round(i * (n - 1) / (spread - 1)) for i in range(spread)] if spread > 1 else list(range(spread))
-    return list(dict.fromkeys([*first, *range(n)]))
+    """All shard numbers once: first the anchors, at even distances from the first shard to the last (halves round to
+    even), then the others from low to high."""
+    count = min(n, anchors)
+    if count < 2:
+        return list(range(n))
+    gap = n - 1
+    picks = [round(step * gap / (count - 1)) for step in range(count)]
+    chosen = set(picks)
+    return sorted(chosen, key=picks.index) + [shard for shard in range(n) if shard not in chosen]
 
 
 def farthest_first(used: list[int], total: int) -> list[int]:
@@ -85,3 +92,60 @@ def farthest_first(used: list[int], total: int) -> list[int]:
         left.remove(pick)
         gap = [min(g, abs(i - pick)) for i, g in enumerate(gap)]
     return out
+
+
+def parse_targets(entries: list[str]) -> dict[str, int]:
+    """{group: tokens} of entries such as ``math=123``; a malformed, repeated or non-positive one is an error."""
+    out: dict[str, int] = {}
+    for entry in entries:
+        name, mark, value = entry.partition("=")
+        if not (name and mark and value.isascii() and value.isdecimal() and int(value) > 0) or name in out:
+            raise ValueError(f"not a target: {entry}")
+        out[name] = int(value)
+    return out
+
+
+def require_met(df: DataFrame, tokens: str, targets: DataFrame, group: str) -> DataFrame:
+    """df, unless a group has fewer tokens than its target: then an error, for candidates that run out may not pass as a pool."""
+    short = deficits(df.groupBy(group).agg(F.sum(tokens).alias("have")), targets, group).where(~F.col("met")).orderBy(group).limit(5).collect()
+    if short:
+        raise ValueError("candidates exhausted: " + ", ".join(f"{r[group]} lacks {r['deficit']}" for r in short))
+    return df
+
+
+def require_count(df: DataFrame, n: int) -> DataFrame:
+    """df, unless it has another number of rows than n."""
+    found = df.count()
+    if found != n:
+        raise ValueError(f"{found} rows in place of {n}")
+    return df
+
+
+def shards_until(totals: DataFrame, tokens: str, target: int, order: list[str]) -> DataFrame:
+    """Whole shards in order until their tokens reach the target; the one that crosses it is in. A row a shard, so one window."""
+    before = F.coalesce(F.sum(tokens).over(Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return totals.withColumn("tokens_before", before).where(F.col("tokens_before") < target)
+
+
+def scan_cap(df: DataFrame, order: list[str], most: int) -> DataFrame:
+    """The first rows of the whole table in order; adds place, from 0."""
+    return running_sum(df.withColumn("_one", F.lit(1)), "_one", order, "place").drop("_one").where(F.col("place") < most)
+
+
+def in_order(parts: Mapping[str, DataFrame], name: str = "pool") -> DataFrame:
+    """The parts in one table, each with its name and its number in ``<name>_ord``: their fixed order survives the union."""
+    out = None
+    for i, (key, part) in enumerate(parts.items()):
+        part = part.withColumns({name: F.lit(key), f"{name}_ord": F.lit(i)})
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def merged_bottom(state: DataFrame, batch: DataFrame, key: list[str], k: int, order: list[Column]) -> DataFrame:
+    """The k first rows of each key of state and batch together: samples of parts merge to the sample of the whole."""
+    return least_per_key(state.unionByName(batch), key, k, order)
+
+
+def spread_sample(items: list[str], n: int) -> list[str]:
+    """Up to n items at even steps, the first included."""
+    return sorted(items)[:: max(1, len(items) // n)][:n] if n > 0 else []

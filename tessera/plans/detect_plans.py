@@ -131,6 +131,11 @@ _FOUND = f"found AS (SELECT doc_id, lang, text, {HASH} AS doc_sha256, {_findings
 _SECRETS = f"""secrets AS (SELECT *, list_filter(regexp_extract_all(text, '{_SECRET}', 1), lambda v: NOT regexp_matches(v, '{_TEMPLATE}') AND regexp_matches(v, '[0-9]') AND regexp_matches(v, '[A-Za-z]')
   AND len(list_distinct(string_split(v, ''))) >= 6) AS secrets FROM documents)"""
 
+#: Every document with both hashes, before redaction and after.
+_CLEAN = f"""{_SECRETS}, safe AS (SELECT doc_id, text AS raw, {_replaced("text", "secrets", "[REDACTED_SECRET]")} AS safe FROM secrets),
+found AS (SELECT *, {_findings("safe")} FROM safe), clean AS (SELECT doc_id, raw, {_replaced(_replaced("safe", "mails", "[EMAIL]"), "phones", "[PHONE]")} AS text FROM found),
+h AS (SELECT doc_id, raw, text <> raw AS changed, text = '' AS empty, {HASH.replace("(text", "(raw")} AS source_doc_sha256, {HASH} AS doc_sha256 FROM clean)"""
+
 
 def _counts(columns: dict[str, str], source: str) -> str:
     return " UNION ALL ".join(f"SELECT lang, '{kind}' AS kind, sum(len({c}))::BIGINT AS hits, count(*) AS documents FROM {source} WHERE len({c}) > 0 GROUP BY lang" for kind, c in columns.items())
@@ -157,10 +162,7 @@ WITH found AS (SELECT lang, regexp_extract_all(text, '{_EMAIL}') AS mails, regex
 {_counts({"email": "mails", "phone": "phones"}, "found")}""",
     "secret_scan_counts": f"WITH {_SECRETS} {_counts({'env_secret': 'secrets'}, 'secrets')}",
     "scan_fate": f"""
-WITH {_SECRETS}, safe AS (SELECT doc_id, text AS raw, {_replaced("text", "secrets", "[REDACTED_SECRET]")} AS safe FROM secrets),
-found AS (SELECT *, {_findings("safe")} FROM safe), clean AS (SELECT doc_id, raw, {_replaced(_replaced("safe", "mails", "[EMAIL]"), "phones", "[PHONE]")} AS text FROM found),
-h AS (SELECT doc_id, text <> raw AS changed, text = '' AS empty, {HASH.replace("(text", "(raw")} AS source_doc_sha256, {HASH} AS doc_sha256 FROM clean),
-early AS (SELECT *, CASE WHEN changed AND ('0x' || substr(doc_sha256, 1, 8))::BIGINT % 100 = 0 THEN 'post_redaction_heldout' END AS early FROM h)
+WITH {_CLEAN}, early AS (SELECT *, CASE WHEN changed AND ('0x' || substr(doc_sha256, 1, 8))::BIGINT % 100 = 0 THEN 'post_redaction_heldout' END AS early FROM h)
 SELECT doc_id, source_doc_sha256, doc_sha256, coalesce(early, CASE WHEN row_number() OVER (PARTITION BY early IS NULL, doc_sha256 ORDER BY doc_id) > 1 THEN 'post_redaction_exact_duplicate' WHEN empty THEN 'zero_tokens' END, 'kept') AS fate FROM early""",
     "audit_samples": f"""
 WITH {_FOUND}, marked AS (SELECT *, {_replaced(_replaced("text", "mails", "[EMAIL]"), "phones", "[PHONE]")} AS done FROM found),

@@ -41,3 +41,15 @@ def by_fate(df: DataFrame, fate: str, paths: dict[str, str]) -> None:
 def manifest(df: DataFrame, path: str) -> None:
     """One JSON document of an aggregate's only row."""
     df.select(F.to_json(F.struct("*")).alias("value")).coalesce(1).write.mode("errorifexists").text(path)
+
+
+def gram_index(df: DataFrame, path: str) -> None:
+    """(benchmark, gram) as Parquet, sorted within files: a reader of one benchmark skips the row groups of the others."""
+    df.repartitionByRange("benchmark", "gram").sortWithinPartitions("benchmark", "gram").write.mode("errorifexists").parquet(path)
+
+
+def exact_lines(df: DataFrame, path: str, n: int) -> None:
+    """JSON lines of exactly n rows; another number is an error before anything is written."""
+    from tessera.operators.budget import require_count
+
+    require_count(df, n).write.mode("errorifexists").json(path)

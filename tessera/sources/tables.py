@@ -62,3 +62,56 @@ def checked(df: DataFrame, digest: str, text: str = "text") -> DataFrame:
     """Rows whose stored SHA-256 is their text's; any other row ends the job."""
     same = F.sha2(F.col(text), 256) == F.col(digest)
     return df.withColumn(digest, F.when(same, F.col(digest)).otherwise(F.raise_error(F.concat(F.lit("hash mismatch "), F.col(digest)))))
+
+
+def hit_file(spark: SparkSession, path: str, lang: str) -> DataFrame:
+    """The hits of one language from JSON lines (lang, doc_sha256, ngram_hits, url, chars)."""
+    return spark.read.schema("lang string, doc_sha256 string, ngram_hits long, url string, chars long").json(path).where(F.col("lang") == lang)
+
+
+def metrics_log(spark: SparkSession, path: str) -> DataFrame:
+    """A run's log of JSON lines, its columns as found; lines that are no JSON are left out."""
+    df = spark.read.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_bad").json(path)
+    return df.where(F.col("_bad").isNull()).drop("_bad") if "_bad" in df.columns else df
+
+
+def splits(parts: dict[str, DataFrame], order: str, most: int | None = None) -> DataFrame:
+    """All splits in one table with a column ``split``, up to ``most`` rows of each by order."""
+    from tessera.operators.budget import in_order
+
+    rows = in_order(parts, "split").drop("split_ord")
+    return head_per_source(rows, "split", order, most) if most is not None else rows
+
+
+def row_text(df: DataFrame, sep: str = "\n"):
+    """One text of a row whose columns are not known before: all string values that are not blank, in the order of columns."""
+    names = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    return F.concat_ws(sep, *[F.when(F.trim(n) != "", F.col(n)) for n in names])
+
+
+def read_specs(readers: dict) -> tuple[dict[str, DataFrame], dict[str, str]]:
+    """(tables, failures) of named readers without arguments: one that fails is recorded, and the others are read."""
+    found, failed = {}, {}
+    for name, reader in readers.items():
+        try:
+            found[name] = reader()
+        except Exception as e:  # noqa: BLE001 - whatever a source raises is what there is to record
+            failed[name] = f"{type(e).__name__}: {e}".splitlines()[0]
+    return found, failed
+
+
+def file_digests(spark: SparkSession, path: str) -> DataFrame:
+    """(path, length, sha256) of small files, which are read whole."""
+    return spark.read.format("binaryFile").load(path).select("path", "length", F.sha2("content", 256).alias("sha256"))
+
+
+def token_pool(spark: SparkSession, path: str, langs: list[str] | None = None) -> DataFrame:
+    """A pool that sinks.token_pool wrote; only the folders of the languages asked for are read."""
+    df = spark.read.parquet(path)
+    return df.where(F.col("lang").isin(*langs)) if langs is not None else df
+
+
+def register_views(spark: SparkSession, sf_dir: str, names: tuple[str, ...]) -> None:
+    """Temporary views of the tables, for plain SQL over them."""
+    for name in names:
+        table(spark, sf_dir, name).createOrReplaceTempView(name)

@@ -6,6 +6,7 @@ or with new files.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -40,3 +41,25 @@ def running_accounts(spark: SparkSession, folder: str, schema: T.StructType, rea
     query.awaitTermination()
     partial = spark.read.parquet(out)
     return partial.groupBy("reason").agg(F.sum("documents").alias("documents"), F.sum("bytes").alias("bytes"))
+
+
+def until_target(spark: SparkSession, folder: str, schema: T.StructType, size: Column, target: int, out: str, checkpoint: str, files_per_batch: int = 1) -> int:
+    """Appends files' rows to ``out`` batch by batch while the total of size is below target; returns the total.
+
+    A batch is written under its number, and the total is read back from what is written, so a run after a crash goes on
+    where it stopped. The batch that crosses the target is in; later ones are passed over.
+    """
+
+    def total() -> int:
+        try:
+            return spark.read.parquet(out).agg(F.coalesce(F.sum("_size"), F.lit(0))).first()[0]
+        except AnalysisException:  # nothing written yet
+            return 0
+
+    def write(batch: DataFrame, number: int) -> None:
+        if total() < target:
+            batch.withColumn("_size", size).write.mode("overwrite").parquet(f"{out}/batch={number}")
+
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(folder)
+    stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    return total()
