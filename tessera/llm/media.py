@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from tessera.llm.common import map_slices, shared_path, stored
+from tessera.llm.common import SQL_CRC, map_slices, shared_path, stored
 from tessera.llm.files import attempt_name, filesystem, make_dir
 
 WIDTH = 192
@@ -280,3 +280,18 @@ def op5_media(spark, sf_dir: str) -> DataFrame:
         F.sha2("payload", 256).alias("media_sha256"),
         "feature",
     )
+
+
+def media_payloads(spark, sf_dir: str) -> DataFrame:
+    """The columns of op5_media that do not hang on the image format, for plain SQL."""
+    return op5_media(spark, sf_dir).select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32")
+
+
+def payload_oracle() -> str:
+    return f"""
+WITH {SQL_CRC.strip()}, d AS (SELECT doc_id, coalesce(text, '') AS text, strlen(coalesce(text, '')) AS n FROM documents),
+p AS (SELECT doc_id, n, text || repeat(' ', CASE WHEN n = 0 THEN {WIDTH} ELSE ({WIDTH} - n % {WIDTH}) % {WIDTH} END) AS payload FROM d),
+h AS (SELECT doc_id, n, payload, right(hex(encode(payload)), 32) AS tail FROM p)
+SELECT doc_id, n::BIGINT AS n_bytes, strlen(payload)::BIGINT AS payload_bytes, sha256(payload) AS payload_sha256,
+  xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(regexp_extract_all(tail, '..'), lambda h: ('0x' || h)::BIGINT)), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295)::BIGINT AS tail_crc32 FROM h, crc_step
+"""

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm import boosting
-from tessera.llm.common import map_slices, seeded_key, stored
+from tessera.llm.common import WORD, map_slices, seeded_key, stored
 
 SYMBOLS = "#*$%&|<>"
 _SPACES = " \t\n\x0b\x0c\r"
@@ -161,3 +161,25 @@ def op10_quality(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     model = train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return score(docs, model)
+
+
+BASE = ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+
+
+def quality_base(spark, sf_dir: str) -> DataFrame:
+    """What op10_quality says before its trees: a model without trees keeps all that the base rules keep."""
+    every = boosting.fit(np.zeros((0, len(FEATURES))), np.zeros(0), list(FEATURES.values()))
+    return score(spark.read.parquet(f"{sf_dir}/documents.parquet"), every).select(*BASE)
+
+
+def base_oracle() -> str:
+    return rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '{WORD}') AS w FROM documents),
+threes AS (SELECT doc_id, i, w[i:i + 2] AS three FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM d)),
+again AS (SELECT doc_id, i FROM threes QUALIFY count(*) OVER (PARTITION BY doc_id, three) > 1),
+repeats AS (SELECT doc_id, count(DISTINCT k) AS n FROM (SELECT doc_id, unnest(range(i, i + 3)) AS k FROM again) GROUP BY doc_id),
+counts AS (SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars, len(regexp_extract_all(text, '[#*$%&|<>]'))::BIGINT AS n_symbols,
+  list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '{WORD}')) AS lines FROM d)
+SELECT c.doc_id, n_words, word_chars, n_symbols, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(n, 0)::BIGINT AS n_repeat_words,
+  n_words < {MIN_WORDS} OR 100 * coalesce(n, 0) > {MAX_REPEAT_PERCENT} * n_words AS base_failed FROM counts c LEFT JOIN repeats USING (doc_id)
+"""

@@ -13,6 +13,9 @@ QUERIES = {
     "op8_token_files": token_files.op8_token_files,
     "op9_mixing": mixing.op9_mixing,
     "op10_quality": quality.op10_quality,
+    # Parts of op5 and op10 that SQL can express.
+    "media_payloads": media.media_payloads,
+    "quality_base": quality.quality_base,
 }
 
 ORACLE = {
@@ -20,4 +23,6 @@ ORACLE = {
     "op4_substring": substring.oracle(),
     "op7_warc": warc.oracle(),
     "op9_mixing": mixing.oracle(),
+    "media_payloads": media.payload_oracle(),
+    "quality_base": quality.base_oracle(),
 }

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import named, row_name, seeded_key, sql_seeded_key, stored
+from tessera.llm.common import SQL_CRC, named, row_name, seeded_key, sql_seeded_key, stored
 from tessera.llm.ranking import buckets_for, key_bucket, running
 
 SEED = 17
@@ -58,12 +58,6 @@ def op2_sharding(spark, sf_dir: str) -> DataFrame:
     )
 
 
-#: CRC-32 of a string's UTF-8 bytes in DuckDB: the table of 256 entries, then one step a byte.
-SQL_CRC = """
-crc_step AS (SELECT list_transform(range(256), lambda i: list_reduce(list_concat([i::BIGINT], range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t)
-"""
-
-
 def oracle() -> str:
     return f"""
 WITH {SQL_CRC.strip()},
