@@ -83,6 +83,8 @@ LANDMARK_WEIGHT = 2.0
 LANDMARK_SHARE = 0.03
 #: Of the mean value of a page's characters: what a path must reach.
 LEVEL = 0.2
+#: What the mean counts at most, about the value of 500 characters and ten marks: beside a huge text short titles stay.
+LEVEL_MEAN = 4.6
 #: Of all gains: what the element that bounds the article holds at least.
 SHARE = 0.6
 #: Blocks on either side that a smoothed value is made of.
@@ -426,7 +428,7 @@ def main_text(page: str | None) -> str:
     # The level is that of blocks on which no name weighs, if there are any.
     sizes = [len(b.text) if weight[b.at] >= 1 else 0 for b in tree.blocks]
     sizes = sizes if any(sizes) else [len(b.text) for b in tree.blocks]
-    level = LEVEL * sum(v * s for v, s in zip(values, sizes, strict=True)) / sum(sizes)
+    level = LEVEL * min(sum(v * s for v, s in zip(values, sizes, strict=True)) / sum(sizes), LEVEL_MEAN)
     chosen = [v >= level and v > 0 for v in values]
     root = _content_root(tree, [v * len(b.text) * c for v, b, c in zip(values, tree.blocks, chosen, strict=True)])
     inside = [e == root for e in range(len(tree.tag))]

@@ -43,6 +43,7 @@ TEMPLATES = {
         WANT,
     ),
     "notices": (f"<div class='cookie-banner'>{PROMO}</div><div class='container'><div class='row'><div class='text'>{PARAS}</div></div></div><div class='newsletter-box'>{PROMO}</div>", WANT),
+    "huge_text": (f"<div id='c'><h1>Ice</h1><div class='body'>{'<br>'.join([P1, P2, P3] * 60)}</div></div><div class='sidebar'>{PROMO * 20}</div>", "Ice " + " ".join([WANT] * 60)),
     "bare": (f"{MENU}<h1>Ice</h1>{PARAS}", f"Ice {WANT}"),
     "index": ("<main>" + f"<article><h2>Ice</h2><p>{P1}</p></article>" * 4 + f"</main><aside>{PROMO}</aside>", " ".join([f"Ice {P1}"] * 4)),
     "boxes_in_article": (
