@@ -17,7 +17,7 @@ import html
 import math
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from functools import lru_cache
 
 import pandas as pd
@@ -136,13 +136,17 @@ def tokens(page: str) -> Iterator[tuple[int, str, str]]:
             at = page.find(">", lt) + 1
             continue
         tag = name[0].lower()
-        end = _TAG_END.match(page, name.end()) if quotes and begin != "/" else None
-        if end is None and begin != "/":
-            quotes = False
-        at = end.end() if end else page.find(">", name.end()) + 1
         if begin == "/":
+            at = page.find(">", name.end()) + 1
             yield CLOSE, tag, ""
             continue
+        if page.startswith(">", name.end()):
+            at = name.end() + 1
+        else:
+            end = _TAG_END.match(page, name.end()) if quotes else None
+            if end is None:
+                quotes = False
+            at = end.end() if end else page.find(">", name.end()) + 1
         attrs = page[name.end() : at - 1]
         if tag not in RAW:
             yield OPEN, tag, attrs
@@ -181,9 +185,8 @@ def naming(names: str) -> str:
 @dataclass(slots=True)
 class Block:
     at: int
-    parts: list[str] = field(default_factory=list)
-    linked: int = 0
-    text: str = ""
+    linked: int
+    text: str
 
 
 class Tree:
@@ -193,9 +196,12 @@ class Tree:
         self.tag, self.parent, self.path, self.said, self.landmark = [""], [-1], [0], [""], [False]
         self.blocks: list[Block] = []
         self._paths: dict[tuple[int, str], int] = {}
+        self._kinds: dict[tuple[str, str], tuple[str, str, bool]] = {}
         self._read(page)
 
-    def _push(self, tag: str, raw: str, parent: int) -> int:
+    @staticmethod
+    def _kind(tag: str, raw: str) -> tuple[str, str, bool]:
+        """What an element's names say, its label in paths, and whether it is an article; pages repeat few of them."""
         attrs = {m[1].lower(): unescape(m[2] or m[3] or m[4] or "") for m in _ATTR.finditer(raw)} if raw and not raw.isspace() else {}
         names, role = attrs.get("class", ""), attrs.get("role", "").lower()
         # The id of a heading or a paragraph is the place that links lead to.
@@ -209,11 +215,18 @@ class Tree:
             elif tag in NO_CONTENT_TAGS or role in NO_CONTENT_ROLES or "hidden" in attrs or attrs.get("aria-hidden") == "true" or _HIDDEN.search(attrs.get("style", "")):
                 said = "none"
         label = tag + "".join(sorted(f".{c}" for c in names.split())) + (f"#{ident}" if ident else "")
+        return said, label, tag in ("article", "main") or role in ("main", "article")
+
+    def _push(self, tag: str, raw: str, parent: int) -> int:
+        kind = self._kinds.get((tag, raw))
+        if kind is None:
+            kind = self._kinds[tag, raw] = self._kind(tag, raw)
+        said, label, landmark = kind
         self.tag.append(tag)
         self.parent.append(parent)
         self.path.append(self._paths.setdefault((self.path[parent], label), len(self._paths) + 1))
         self.said.append(said)
-        self.landmark.append(tag in ("article", "main") or role in ("main", "article"))
+        self.landmark.append(landmark)
         return len(self.tag) - 1
 
     def _read(self, page: str) -> None:
@@ -222,15 +235,18 @@ class Tree:
         open_at: dict[str, list[int]] = {}
         block_at = [0]
         muted: list[int] = []
-        now: Block | None = None
+        # Of the open block, if any: its element, its texts so far and their characters in links.
+        at, linked = -1, 0
+        parts: list[str] = []
 
         def close() -> None:
-            nonlocal now
-            if now is not None:
-                now.text = " ".join("".join(now.parts).split())
-                if now.text:
-                    self.blocks.append(now)
-                now = None
+            nonlocal at, linked
+            if at >= 0:
+                text = " ".join("".join(parts).split())
+                if text:
+                    self.blocks.append(Block(at, linked, text))
+                at, linked = -1, 0
+                parts.clear()
 
         def pop_to(k: int) -> None:
             while len(stack) > k:
@@ -247,13 +263,13 @@ class Tree:
         for kind, value, raw in tokens(page):
             if kind == TEXT:
                 text = unescape(value)
-                if muted or (now is None and text.isspace()):
+                if muted or (at < 0 and text.isspace()):
                     continue
-                if now is None:
-                    now = Block(stack[block_at[-1]][1])
-                now.parts.append(text)
+                if at < 0:
+                    at = stack[block_at[-1]][1]
+                parts.append(text)
                 if open_at.get("a"):
-                    now.linked += len(text.strip())
+                    linked += len(text.strip())
                 continue
             tag, inline = value, value in INLINE
             if kind == CLOSE:
@@ -264,8 +280,8 @@ class Tree:
                     pop_to(k)
                 continue
             if tag == "br":
-                if now is not None:
-                    now.parts.append(" ")
+                if at >= 0:
+                    parts.append(" ")
                 continue
             if tag in CLOSES_P and stack[block_at[-1]][0] == "p":
                 pop_to(block_at[-1])
@@ -326,7 +342,7 @@ def path_ratios(tree: Tree) -> dict[int, PathSums]:
     return sums
 
 
-def name_weights(tree: Tree, ratios: dict[int, PathSums]) -> tuple[list[float], list[float]]:
+def name_weights(tree: Tree, ratios: dict[int, PathSums], values: list[float]) -> tuple[list[float], list[float]]:
     """Of every element the weight of all names from the root to it, and the same without headers' names.
 
     Readers' texts may be most of a page: their names weigh as soon as prose stands outside of them. Any other name
@@ -334,7 +350,9 @@ def name_weights(tree: Tree, ratios: dict[int, PathSums]) -> tuple[list[float],
     name weighs as much as the element's text stands in links.
     """
     n = len(tree.tag)
-    fused = [ratios[tree.path[b.at]].fused() * len(b.text) for b in tree.blocks]
+    if not any(tree.said) and not any(tree.landmark):
+        return [1.0] * n, [1.0] * n
+    fused = [v * len(b.text) for v, b in zip(values, tree.blocks, strict=True)]
     readers = [0] * n  # how many elements named so, from the root on
     for e in range(1, n):
         readers[e] = readers[tree.parent[e]] + (tree.said[e] == "readers")
@@ -375,12 +393,13 @@ def name_weights(tree: Tree, ratios: dict[int, PathSums]) -> tuple[list[float],
 def smoothed(tree: Tree, values: list[float], weight: list[float]) -> list[float]:
     """Values averaged by a Gaussian along the page, among blocks of one container and one weight."""
     kernel = [math.exp(-d * d / 2) for d in range(RADIUS + 1)]
-    home = [tree.parent[b.at] if tree.tag[b.at] in LEAVES else b.at for b in tree.blocks]
+    homes: dict[tuple[int, float], int] = {}
+    home = [homes.setdefault((tree.parent[b.at] if tree.tag[b.at] in LEAVES else b.at, weight[b.at]), len(homes)) for b in tree.blocks]
     out = []
     for i, v in enumerate(values):
         total, of = v, 1.0
         for j in range(max(0, i - RADIUS), min(len(values), i + RADIUS + 1)):
-            if j != i and home[j] == home[i] and weight[tree.blocks[j].at] == weight[tree.blocks[i].at]:
+            if home[j] == home[i] and j != i:
                 total += kernel[abs(i - j)] * values[j]
                 of += kernel[abs(i - j)]
         out.append(total / of)
@@ -421,8 +440,9 @@ def main_text(page: str | None) -> str:
     if not tree.blocks:
         return ""
     ratios = path_ratios(tree)
-    weight, bare = name_weights(tree, ratios)
-    fused = [ratios[tree.path[b.at]].fused() for b in tree.blocks]
+    of_path = {path: sums.fused() for path, sums in ratios.items()}
+    fused = [of_path[tree.path[b.at]] for b in tree.blocks]
+    weight, bare = name_weights(tree, ratios, fused)
     plain = _path_means(tree, smoothed(tree, fused, weight))
     values = [v * weight[b.at] for v, b in zip(plain, tree.blocks, strict=True)]
     # The level is that of blocks on which no name weighs, if there are any.
