@@ -8,7 +8,9 @@ rotate-right by 15 plus 0xA282EAD8 modulo 2**32, so that checksums of data that
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -17,10 +19,11 @@ from itertools import chain, repeat
 import numpy as np
 import pandas as pd
 import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import map_slices, partitions_for, shared_path, stored
+from tessera.llm.common import ASCII_SPACE, map_slices, partitions_for, shared_path, stored
 from tessera.llm.files import attempt_name, filesystem, make_dir
 
 TOKENIZER = "word_bpe_49k.json"
@@ -30,6 +33,8 @@ READ_BYTES = 8 << 20
 FILE_BYTES = 512 << 20
 STRETCH_BYTES = 32 << 20
 STRETCHES_PER_TASK = 4
+#: Characters that are encoded at once; longer texts are cut at white space.
+ENCODE_CHARS = 4 << 20
 STRETCHES = "part int, stretch int, file string, index_file string, begin long, end long, first_record long, n_docs long, n_tokens long"
 _HEAD, _BODY = struct.Struct("<QI"), struct.Struct("<qBB")
 
@@ -87,10 +92,77 @@ def unpack(body: bytes) -> tuple[int | None, np.ndarray]:
     return None if null else doc_id, np.frombuffer(body, f"<u{width}", offset=_BODY.size)
 
 
+#: The pattern of pre-tokenizers that end a piece wherever an ASCII letter or digit meets an ASCII mark.
+MARK_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_SPACE, _ALNUM, _UPPER, _MARK, _OPENS = 1, 2, 4, 8, 16
+#: First byte of U+00C0 to U+00FF, which are letters but for two whose second byte is 0x97 or 0xB7; capitals come 0x20 before small ones.
+LATIN_LEAD = 0xC3
+_WHITE = re.compile(f"[{ASCII_SPACE.decode()}]")
+
+
+def _flags(marks: bool, lower: bool) -> np.ndarray:
+    """What each byte is: white space, letter or digit, capital to lower, mark, mark that no letter after it can belong to."""
+    flags = np.zeros(256, np.uint8)
+    flags[list(ASCII_SPACE)] = _SPACE
+    for c in range(33, 127) if marks else ():
+        flags[c] = _ALNUM if chr(c).isalnum() else _MARK if c == ord("'") else _MARK | _OPENS
+    for c in range(ord("A"), ord("Z") + 1) if lower else ():
+        flags[c] |= _UPPER
+    return flags
+
+
+def _rules(setup: dict) -> tuple[bool, bool]:
+    """Whether words may be cut at marks, and lowered, before a tokenizer of this setup sees them.
+
+    A cut between an ASCII mark and a letter or digit (ASCII, or one of LATIN_LEAD) is one that MARK_PATTERN makes too, unless the
+    mark is an apostrophe with a letter after it; no normal form joins the two. NFC joins a letter to combining marks alone.
+    """
+
+    def steps(part: str, inner: str) -> list[dict]:
+        whole = setup.get(part) or {}
+        return whole[inner] if whole.get("type") == "Sequence" else [whole] if whole else []
+
+    normal, cut = steps("normalizer", "normalizers"), steps("pre_tokenizer", "pretokenizers")
+    marks = (
+        all(n["type"] in ("NFC", "Lowercase") or (n["type"], n.get("pattern"), n.get("content")) == ("Replace", {"Regex": r"\s+"}, " ") for n in normal)
+        and [c["type"] for c in cut] == ["Split", "ByteLevel"]
+        and (cut[0]["pattern"], cut[0]["behavior"], cut[0]["invert"]) == ({"Regex": MARK_PATTERN}, "Removed", True)
+        and not cut[1]["add_prefix_space"]
+        and not cut[1]["use_regex"]
+        and all(t["content"].isascii() and not (t["normalized"] or t["lstrip"] or t["rstrip"]) for t in setup["added_tokens"])
+    )
+    return marks, marks and any(n["type"] == "Lowercase" for n in normal)
+
+
+def _runs(texts: list[str | None]) -> Iterator[tuple[int, int]]:
+    """Neighbouring texts to encode at once: ENCODE_CHARS characters, or one text of more."""
+    begin = held = 0
+    for i, t in enumerate(texts):
+        n = len(t or "")
+        if i > begin and held + n > ENCODE_CHARS:
+            yield begin, i
+            begin, held = i, 0
+        held += n
+    if texts:
+        yield begin, len(texts)
+
+
+def _stretches(text: str) -> Iterator[str]:
+    """A text's stretches of ENCODE_CHARS characters and what is left of the word that they end in."""
+    begin = 0
+    while begin < len(text):
+        found = _WHITE.search(text, begin + ENCODE_CHARS)
+        end = found.start() if found else len(text)
+        yield text[begin:end]
+        begin = end
+
+
 class WordEncoder:
     """Encodes texts through the ids of their words, each of which the tokenizer sees once while the table has room.
 
-    Valid for tokenizers whose pieces never reach across ASCII white space and that drop it, as this one's. New words are
+    Valid for tokenizers whose pieces never reach across ASCII white space and that drop it, as this one's. Where the tokenizer's
+    own rules allow it (_rules), words are cut at ASCII marks and lowered first, so that ``Word,`` and ``(word`` are one entry
+    beside their marks; texts that hold an added token, in whatever case, keep their words whole. New words are
     encoded many to a line and told apart by their places in it; beyond max_words they are encoded anew each time.
     """
 
@@ -102,6 +174,10 @@ class WordEncoder:
 
         self.tokenizer, self.max_words = Tokenizer.from_file(path), max_words
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
+        setup = json.loads(self.tokenizer.to_str())
+        self.marks, self.lower = _rules(setup)
+        self.flags = _flags(self.marks, self.lower)
+        self.added = [t["content"].lower().encode("utf-8") for t in setup["added_tokens"]]
         self.number: dict[bytes, int] = {}
         self.ids = np.zeros(0, np.uint32)
         self.at = np.zeros(1, np.int64)
@@ -110,36 +186,82 @@ class WordEncoder:
         """All ids of some words, and how many each word has."""
         plain = [w.decode("utf-8") for w in words]
         lines = [plain[i : i + self.LINE] for i in range(0, len(plain), self.LINE)]
-        ids, counts = [], []
-        for line, got in zip(lines, self.tokenizer.encode_batch([" ".join(x) for x in lines], add_special_tokens=False), strict=True):
-            ends = np.cumsum([len(w) + 1 for w in line])
-            starts = np.fromiter((a for a, _ in got.offsets), np.int64, len(got.ids))
-            counts.append(np.bincount(np.searchsorted(ends, starts, side="right"), minlength=len(line)))
-            ids.append(np.array(got.ids, np.uint32))
-        return np.concatenate(ids), np.concatenate(counts)
+        found = self.tokenizer.encode_batch([" ".join(x) for x in lines], add_special_tokens=False)
+        # Places in all lines, each of which has one character more than its words and the spaces between them.
+        ends = np.cumsum([len(w) + 1 for w in plain])
+        sizes = [len(got.ids) for got in found]
+        ids = np.fromiter(chain.from_iterable(got.ids for got in found), np.uint32, sum(sizes))
+        starts = np.fromiter(chain.from_iterable(chain.from_iterable(got.offsets for got in found)), np.int64, 2 * len(ids))[::2]
+        starts = starts + np.repeat(np.append(0, ends)[: len(plain) : self.LINE], sizes)
+        return ids, np.bincount(np.searchsorted(ends, starts, side="right"), minlength=len(plain))
+
+    def _words(self, texts: list[str | None]) -> tuple[pa.Array, np.ndarray]:
+        """The words of all texts, and how many of them lie before the end of each text."""
+        lines = [(t or "").encode("utf-8") for t in texts]
+        # A space after each text: it ends the last word, and the first one's left neighbour is the last byte.
+        joined = b" ".join([*lines, b""])
+        data = np.frombuffer(joined, np.uint8)
+        ends = np.cumsum([len(x) + 1 for x in lines])
+        flags = self.flags[data]
+        if self.marks:
+            leads = np.flatnonzero(data == LATIN_LEAD)
+            trails = data[leads + 1]
+            leads, trails = leads[trails & 0xDF != 0x97], trails[trails & 0xDF != 0x97]
+            flags[leads] |= _ALNUM
+            flags[leads + 1] |= np.where(trails < 0x9F, _ALNUM | (_UPPER if self.lower else 0), _ALNUM).astype(np.uint8)
+            folded = joined.lower()
+            for i in range(len(lines)) if any(a in folded for a in self.added) else ():
+                begin = ends[i] - len(lines[i]) - 1
+                if any(folded.find(a, begin, ends[i]) >= 0 for a in self.added):
+                    flags[begin : ends[i]] &= _SPACE
+        inside = (flags & _SPACE) == 0
+        before = np.roll(flags, 1)
+        # Flags of a byte met with those of the byte before it: the first of a word, a mark after a letter, a letter after a mark.
+        first = inside & ((before & _SPACE) != 0)
+        if self.marks:
+            first |= ((before & _ALNUM) << 2) & flags != 0
+            first |= ((before & _OPENS) >> 3) & flags != 0
+        if self.lower:
+            # What follows is ASCII or one of the letters above: a capital before a combining mark is the tokenizer's to compose.
+            after = np.roll(data, -1)
+            capital = ((flags & _UPPER) != 0) & ((after < 128) | (after == LATIN_LEAD))
+            data = data | (capital.view(np.uint8) << 5)
+        n_inside = np.cumsum(inside)
+        starts = np.flatnonzero(first)
+        offsets = np.append(n_inside[starts] - 1, n_inside[-1:]).astype(np.int64)
+        words = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data[inside])])
+        return words, np.searchsorted(starts, ends)
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
-        lines = [(t or "").encode("utf-8").split() for t in texts]
-        words = list(chain.from_iterable(lines))
+        out = []
+        for a, b in _runs(texts):
+            if b - a == 1 and len(texts[a] or "") > ENCODE_CHARS:
+                out.append(np.concatenate([self._encode([part])[0] for part in _stretches(texts[a])]))
+            else:
+                out.extend(self._encode(texts[a:b]))
+        return out
+
+    def _encode(self, texts: list[str | None]) -> list[np.ndarray]:
+        words, upto = self._words(texts)
+        found = words.dictionary_encode()
+        words = found.dictionary.to_numpy(zero_copy_only=False).tolist()
         codes = np.fromiter(map(self.number.get, words, repeat(-1)), np.int64, len(words))
         ids, at = self.ids, self.at
         missing = np.flatnonzero(codes < 0)
         if len(missing):
-            lacking = [words[i] for i in missing.tolist()]
-            new = list(dict.fromkeys(lacking))
+            new = [words[i] for i in missing.tolist()]
             more, counts = self._ids_of(new)
             first = len(at) - 1
             ids, at = np.concatenate([ids, more]), np.concatenate([at, at[-1] + np.cumsum(counts)])
-            place = dict(zip(new, range(first, first + len(new)), strict=True))
-            codes[missing] = np.fromiter(map(place.__getitem__, lacking), np.int64, len(lacking))
+            codes[missing] = np.arange(first, first + len(new))
             if first + len(new) <= self.max_words:
                 self.ids, self.at = ids, at
-                self.number.update(place)
-        begin, size = at[codes], at[codes + 1] - at[codes]
+                self.number.update(zip(new, range(first, first + len(new)), strict=True))
+        places = found.indices.to_numpy()
+        begin, size = at[codes][places], (at[codes + 1] - at[codes])[places]
         ends = np.cumsum(size)
         total = int(ends[-1]) if len(ends) else 0
         flat = ids[np.repeat(begin - (ends - size), size) + np.arange(total)]
-        upto = np.cumsum([len(x) for x in lines])
         cuts = np.where(upto > 0, ends[np.maximum(upto - 1, 0)] if len(ends) else 0, 0)
         return np.split(flat, cuts[:-1])
 
@@ -191,8 +313,8 @@ def write_tokens(
             for batch in batches:
                 ids = [None if pd.isna(i) else int(i) for i in batch["doc_id"]]
                 texts = batch["text"].tolist()
-                for a in range(0, len(texts), 256):
-                    for doc_id, tokens in zip(ids[a : a + 256], encoder.encode(texts[a : a + 256]), strict=True):
+                for a, b in _runs(texts):
+                    for doc_id, tokens in zip(ids[a:b], encoder.encode(texts[a:b]), strict=True):
                         if stream is None:
                             name, number, offsets, at = attempt_name("tokens", f"-{number}.rec"), number + 1, [], 0
                             begin = first = 0

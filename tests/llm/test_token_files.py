@@ -1,4 +1,6 @@
 import io
+import json
+import random
 import zlib
 
 import numpy as np
@@ -24,6 +26,48 @@ def test_words_give_the_ids_of_whole_texts(spark, sf):
     assert got == want(texts)
 
 
+def test_marks_and_capitals_make_no_new_words():
+    encoder = tf.WordEncoder(public_tokenizers.path(tf.TOKENIZER))
+    texts = ["Word word, word. (word) WORD! \"word\"; word-word wORD", "été Été, (été) ÉTÉ."]
+    assert [[*x.tolist(), 2] for x in encoder.encode(texts)] == want(texts)
+    assert {w for w in encoder.number if w.decode("utf-8").isalpha()} == {b"word", "été".encode()}
+
+
+def test_cuts_at_marks_keep_the_ids_of_whole_texts():
+    path = public_tokenizers.path(tf.TOKENIZER)
+    rng = random.Random(8)
+    parts = [*"aAsStTlLeEK09 \t\x1c\x7f'',.<>|=_(", *"éÉß×÷Þİſ½ก日", "\u0301", "\u0307", "\u0331", "\u0338", "\xa0", "<|endoftext|>", "<|ENDOFTEXT|>", "'Ll"]
+    texts = ["".join(rng.choices(parts, k=rng.randrange(20))) for _ in range(4000)]
+    encoder = tf.WordEncoder(path)
+    assert encoder.marks and encoder.lower
+    runs = [(0, 1000), *((i, i + 3) for i in range(1000, 4000, 3))]
+    assert [[*x.tolist(), 2] for a, b in runs for x in encoder.encode(texts[a:b])] == want(texts)
+
+
+@pytest.mark.parametrize("change", [{"pre_tokenizer": {"type": "WhitespaceSplit"}}, {"normalizer": {"type": "NFC"}}, {"normalizer": {"type": "NFKC"}}])
+def test_other_tokenizers_keep_their_own_rules(tmp_path, change):
+    with open(public_tokenizers.path(tf.TOKENIZER), encoding="utf-8") as f:
+        setup = json.load(f) | change
+    (tmp_path / "t.json").write_text(json.dumps(setup), encoding="utf-8")
+    texts = [*HARD, "Word word, (WORD) it's IT'S", "été Été, ①,a"]
+    whole = Tokenizer.from_file(str(tmp_path / "t.json")).encode_batch([t or "" for t in texts], add_special_tokens=False)
+    encoder = tf.WordEncoder(str(tmp_path / "t.json"))
+    assert not encoder.lower
+    assert [x.tolist() for x in encoder.encode(texts)] == [e.ids for e in whole]
+
+
+def test_runs_cover_all_texts(monkeypatch):
+    monkeypatch.setattr(tf, "ENCODE_CHARS", 10)
+    texts = ["a" * 4, None, "b" * 6, "c", "d" * 30, "e" * 30, ""]
+    assert list(tf._runs(texts)) == [(0, 3), (3, 4), (4, 5), (5, 6), (6, 7)]
+    assert list(tf._runs([])) == [] and list(tf._runs([""])) == [(0, 1)]
+    long = ["it's ONE text,\x0band (long) ; " * 9, "", None, "nothing-to-cut-at-in-this", " " * 25, "a" * 10]
+    assert all("".join(tf._stretches(t)) == t for t in long if t)
+    encoder = tf.WordEncoder(public_tokenizers.path(tf.TOKENIZER))
+    assert [[*x.tolist(), 2] for x in encoder.encode(long)] == want(long)
+    assert encoder.encode([]) == []
+
+
 def test_query_matches_brute_force(spark, sf):
     docs = sorted(spark.read.parquet(f"{sf}/documents.parquet").collect(), key=lambda r: r.doc_id)
     start, rows = 0, {}
