@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.sources.shared import stored
+
 
 def first_rule(rules: Sequence[tuple[str, Column]]) -> Column:
     """The name of the first rule that holds; null if none does (a rule that is null does not hold)."""
@@ -44,10 +46,10 @@ def mark_repeats(df: DataFrame, key: str, order: str, among: Column, out: str) -
     """Adds out: true for rows of ``among`` whose key an earlier row of ``among`` has (order must be unique).
 
     The first of each key comes from an aggregate that combines before the shuffle, so one key of very many rows is
-    one row by the time it meets the others. The rows are dealt by their unique column first: both sides read that one
-    exchange, and what df computes (often from whole texts) is computed once.
+    one row by the time it meets the others. The rows are written first: each side reads the columns it needs from that
+    table, and what df computes (often from whole texts) is computed once.
     """
-    df = df.repartition(F.col(order))
-    first = df.where(among).groupBy(F.col(key).alias("_key")).agg(F.min(order).alias("_first"))
-    joined = df.join(first, df[key] == first["_key"], "left")
-    return joined.withColumn(out, F.coalesce(among & (F.col(order) > F.col("_first")), F.lit(False))).drop("_key", "_first")
+    rows = stored(df.withColumn("_among", F.coalesce(among, F.lit(False))), "marked")
+    first = rows.where("_among").groupBy(F.col(key).alias("_key")).agg(F.min(order).alias("_first"))
+    joined = rows.join(first, rows[key] == first["_key"], "left")
+    return joined.withColumn(out, F.coalesce(F.col("_among") & (F.col(order) > F.col("_first")), F.lit(False))).drop("_key", "_first", "_among")

@@ -45,7 +45,7 @@ def search_text(text: str | None) -> str | None:
 
 
 def digest_of(text: str | None) -> str | None:
-    """doc_hash() in Python."""
+    """doc_hash() of one text."""
     return None if text is None else hashlib.sha256(hashed_text(text).encode("utf-8", "surrogatepass")).hexdigest()
 
 
@@ -64,8 +64,14 @@ def search_form(text: Column) -> Column:
     return collapse(F.lower(normal_form(text, "NFKC")))
 
 
+@F.pandas_udf(T.StringType())
+def _digest(texts: pd.Series) -> pd.Series:
+    return pd.Series([digest_of(t) for t in texts], dtype=object)
+
+
 def doc_hash(text: Column) -> Column:
-    return F.sha2(normalise(text), 256)
+    """SHA-256 of normalise(text); a text is read once and only its digest comes back from the worker."""
+    return _digest.asNondeterministic()(text)
 
 
 def hash_number(digest: Column) -> Column:
@@ -88,7 +94,8 @@ def in_sample(digest: Column, rate: int) -> Column:
 
 def script_ratio(text: Column, chars: str) -> Column:
     """Share of characters in a class such as ``A-z``; 0 for an empty text."""
-    return F.when(F.length(text) == 0, F.lit(0.0)).otherwise(F.regexp_count(text, F.lit(f"[{chars}]")) / F.length(text))
+    # What is left when runs of others go: regexp_count would hold a string for each character that it counts.
+    return F.when(F.length(text) == 0, F.lit(0.0)).otherwise(F.length(F.regexp_replace(text, f"[^{chars}]+", "")) / F.length(text))
 
 
 def licence_key(value: Column) -> Column:

@@ -8,7 +8,6 @@ from tessera.functions import detectors, rules
 from tessera.functions import text as t
 from tessera.operators.prefix import least_per_key
 from tessera.plans.text_plans import HASH, hashed
-from tessera.sources.shared import stored
 from tessera.sources.tables import table
 
 
@@ -47,7 +46,7 @@ def _fates(rows, order="doc_id"):
     """Of rows (doc_id, s) with s from detectors.scanned: the fate of each."""
     early = [("private_key_document", F.col("s.dropped")), ("post_redaction_heldout", F.col("s.changed") & t.is_heldout(F.col("s.after")))]
     rows = rows.select(order, F.col("s.before").alias("source_doc_sha256"), F.col("s.after").alias("doc_sha256"), F.col("s.bytes").alias("tokens"), rules.first_rule(early).alias("early"))
-    rows = rules.mark_repeats(stored(rows, "scanned"), "doc_sha256", order, F.col("early").isNull(), "again")
+    rows = rules.mark_repeats(rows, "doc_sha256", order, F.col("early").isNull(), "again")
     late = F.when(F.col("again"), "post_redaction_exact_duplicate").when(F.col("tokens") <= 0, "zero_tokens")
     return rows.select(order, "source_doc_sha256", "doc_sha256", F.coalesce("early", late, F.lit("kept")).alias("fate"))
 

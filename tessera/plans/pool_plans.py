@@ -37,7 +37,7 @@ def import_fate(spark, sf_dir):
     true = F.when(F.col("claimed") == F.col("doc_sha256"), F.col("claimed")).otherwise(F.raise_error(F.concat(F.lit("hash mismatch "), "claimed")))
     early = [("heldout", t.is_heldout(F.col("doc_sha256"))), ("disallowed_license", ~_allowed())]
     rows = docs.select("doc_id", true.alias("doc_sha256"), rules.first_rule(early).alias("early"))
-    rows = rules.mark_repeats(stored(rows, "imported"), "doc_sha256", "doc_id", F.col("early").isNull(), "again")
+    rows = rules.mark_repeats(rows, "doc_sha256", "doc_id", F.col("early").isNull(), "again")
     return rows.select("doc_id", F.coalesce("early", F.when(F.col("again"), "exact_duplicate"), F.lit("imported")).alias("fate"))
 
 

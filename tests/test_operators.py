@@ -10,7 +10,7 @@ from tessera.functions import rules
 from tessera.functions import text as t
 from tessera.operators import audit, budget, dedup, ngrams
 from tessera.operators.prefix import running_sum
-from tessera.plans import gram_plans, instruct_plans, text_plans
+from tessera.plans import clean_plans, gram_plans, instruct_plans, text_plans
 from tessera.sources import sinks, tables
 from tessera.streaming.incremental import new_documents, running_accounts
 
@@ -84,6 +84,13 @@ def test_rules_are_ordered_and_duplicates_come_last(spark):
     assert {r.i: r.r for r in first.collect()} == {1: None, 2: "b", 3: "a", 4: "a"}
 
 
+def test_the_cascade_evaluates_each_text_once(spark, sf):
+    plan = clean_plans.cascade(spark, sf)._jdf.queryExecution().toString()
+    assert "text#" not in plan and "ArrowEvalPython" not in plan
+    share = spark.createDataFrame([("a b",)], "s string").select(t.script_ratio(F.col("s"), "A-z"))
+    assert "regexp_extract_all" not in share._jdf.queryExecution().toString()
+
+
 def test_thai_patterns_match(spark):
     rows = spark.createDataFrame([("เล่นคาสิโนที่นี่",), ("สมัครสมาชิก วันนี้ เครดิตฟรี",), ("เลขท้าย 2 ตัว",), ("ปกติ",)], "s string")
     got = rows.select(rules.first_rule(rules.pattern_rules(F.col("s"), rules.THAI_SPAM)).alias("r")).collect()
