@@ -9,10 +9,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from math import gcd
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -46,20 +48,44 @@ def _spread(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(33))
 
 
-def gram_hashes(text: str | None, n: int = N, stride: int = 1) -> np.ndarray:
-    """The hashes of all windows of n code points at multiples of stride; none for a shorter text."""
+def _gathered(x: np.ndarray) -> np.ndarray:
+    """What _spread made x of."""
+    x = (x ^ (x >> _U(33))) * _U(pow(0xC4CEB9FE1A85EC53, -1, 2**64))
+    x = (x ^ (x >> _U(33))) * _U(pow(0xFF51AFD7ED558CCD, -1, 2**64))
+    return x ^ (x >> _U(33))
+
+
+def point_sums(text: str | None) -> np.ndarray:
+    """Sums over a text's code points up to each place, from which the windows of any size follow."""
     points = np.frombuffer((text or "").encode("utf-32-le", "surrogatepass"), np.uint32).astype(_U)
-    if len(points) < n:
-        return np.zeros(0, np.int64)
     size = 1 << max(10, len(points).bit_length())
-    sums = np.concatenate([np.zeros(1, _U), np.cumsum(_spread(points + _U(1)) * _powers(size, False)[: len(points)], dtype=_U)])
-    at = np.arange(0, len(points) - n + 1, stride)
-    return _spread((sums[at + n] - sums[at]) * _powers(size, True)[at]).view(np.int64)
+    sums = np.zeros(len(points) + 1, _U)
+    np.cumsum(_spread(points + _U(1)) * _powers(size, False)[: len(points)], out=sums[1:])
+    return sums
+
+
+def _windows(sums: np.ndarray, n: int, stride: int) -> np.ndarray:
+    """Of point_sums, the hashes of windows of n code points at multiples of stride before they are spread."""
+    points = len(sums) - 1
+    if points < n:
+        return np.zeros(0, _U)
+    at, size = slice(0, points - n + 1, stride), 1 << max(10, points.bit_length())
+    return (sums[n:][at] - sums[:-n][at]) * _powers(size, True)[at]
+
+
+def gram_hashes(text: str | None, n: int = N, stride: int = 1) -> np.ndarray:
+    """The hashes of all windows of n code points at multiples of stride; none for a shorter text."""
+    return _spread(_windows(point_sums(text), n, stride)).view(np.int64)
+
+
+def _form(text: str | None, cap: int | None) -> str | None:
+    """A raw text's first cap characters (all without a cap) in search form."""
+    return search_text(text[:cap] if text and cap else text)
 
 
 def search_grams(text: str | None, n: int, stride: int, cap: int | None = None) -> np.ndarray:
     """The hashes of a raw text's first cap characters (all without a cap) in search form."""
-    return gram_hashes(search_text(text[:cap] if text and cap else text), n, stride)
+    return gram_hashes(_form(text, cap), n, stride)
 
 
 def hashes(text: Column, n: int = N, stride: int = STRIDE, cap: int | None = CAP_CHARS, distinct: bool = False) -> Column:
@@ -125,27 +151,44 @@ def passes(table: np.ndarray, grams: np.ndarray) -> np.ndarray:
     return out
 
 
-def hit_counter(index: DataFrame, n: int = N, stride: int = STRIDE, cap: int | None = CAP_CHARS, sent_bytes: int = SENT_BYTES) -> Callable[[str | None], int] | None:
-    """A function that counts a text's windows in an index that is sent whole; None for an index above sent_bytes."""
+class SentIndex:
+    """Hashes sorted as they are before they are spread, and which of their first bits occur."""
+
+    def __init__(self, grams: np.ndarray) -> None:
+        self.grams = np.sort(_gathered(grams.view(_U)))
+        self.shift = _U(64 - min(25, max(10, (len(grams) * 16).bit_length())))
+        self.firsts = np.zeros(1 << (64 - int(self.shift)), bool)
+        self.firsts[(self.grams >> self.shift).view(np.int64)] = True
+
+    def places(self, sums: np.ndarray, n: int, stride: int) -> np.ndarray:
+        """Which windows of n code points at multiples of stride are in the index: their numbers, from 0."""
+        h = _windows(sums, n, stride)
+        likely = np.flatnonzero(self.firsts[(h >> self.shift).view(np.int64)])
+        if not len(likely):
+            return likely
+        h = h[likely]
+        return likely[self.grams[np.minimum(np.searchsorted(self.grams, h), len(self.grams) - 1)] == h]
+
+
+def sent_index(index: DataFrame, sent_bytes: int = SENT_BYTES) -> Broadcast | None:
+    """An index that is sent whole to every executor; None for one above sent_bytes."""
     grams = stored(index.select("gram").distinct(), "grams")
     if grams.count() * 8 > sent_bytes:
         return None
-    sent = index.sparkSession.sparkContext.broadcast(np.sort(grams.toArrow()["gram"].to_numpy()))
+    return index.sparkSession.sparkContext.broadcast(SentIndex(grams.toArrow()["gram"].to_numpy()))
 
-    def count(text: str | None) -> int:
-        table, h = sent.value, search_grams(text, n, stride, cap)
-        if not len(h) or not len(table):
-            return 0
-        return int((table[np.minimum(np.searchsorted(table, h), len(table) - 1)] == h).sum())
 
-    return count
+def hit_counter(index: DataFrame, n: int = N, stride: int = STRIDE, sent_bytes: int = SENT_BYTES) -> Callable[[str | None], int] | None:
+    """A function that counts the windows of a text in search form in an index that is sent whole; None for an index above sent_bytes."""
+    sent = sent_index(index, sent_bytes)
+    return None if sent is None else lambda form: len(sent.value.places(point_sums(form), n, stride))
 
 
 def window_hits(docs: DataFrame, index: DataFrame, id_col: str, text: Column, n: int = N, stride: int = STRIDE, cap: int | None = CAP_CHARS, sent_bytes: int = SENT_BYTES, bloom_bits: int = BLOOM_BITS) -> DataFrame:
     """(id, hits): how many windows of each document (occurrences, not different ones) are in the index; 0 included."""
-    count = hit_counter(index, n, stride, cap, sent_bytes)
+    count = hit_counter(index, n, stride, sent_bytes)
     if count is not None:
-        hits = F.pandas_udf(lambda texts: pd.Series([count(t) for t in texts], dtype="int64"), T.LongType()).asNondeterministic()
+        hits = F.pandas_udf(lambda texts: pd.Series([count(_form(t, cap)) for t in texts], dtype="int64"), T.LongType()).asNondeterministic()
         return docs.select(F.col(id_col), hits(text).alias("hits"))
     grams = stored(index.select("gram").distinct(), "grams")
     sent = docs.sparkSession.sparkContext.broadcast(bloom(grams, bloom_bits))
@@ -171,16 +214,23 @@ def attribution(flagged: DataFrame, index: DataFrame, id_col: str, text: Column,
 def sensitivity(docs: DataFrame, items: DataFrame, id_col: str, text: Column, item_text: Column, sizes=(32, 50, 64), strides=(1, 8), thresholds=(1, 2, 5, 10, 20, 50), cap: int | None = CAP_CHARS) -> DataFrame:
     """(gram, stride, docs, at_least_k...) for each size and stride: how many documents reach each number of hits.
 
-    Each text is put in search form once and met by all indexes in one pass, while each of them can be sent.
+    Each text is put in search form and summed once, while all indexes can be sent; a size's windows are looked up once, at
+    the strides' common divisor, for those of a stride are among them.
     """
     grid = [(n, stride) for n in sizes for stride in strides]
     indexes = {n: gram_index(items, item_text, F.lit("all"), n) for n in sizes}
-    counters = {(n, stride): hit_counter(indexes[n], n, stride, cap, SENT_BYTES // len(sizes)) for n, stride in grid}
-    if all(counters.values()):
+    sent = {n: sent_index(indexes[n], SENT_BYTES // len(sizes)) for n in sizes}
+    if None not in sent.values():
+        step = gcd(*strides)
+
+        def hits(text: str | None) -> list[int]:
+            sums = point_sums(_form(text, cap))
+            places = {n: sent[n].value.places(sums, n, step) * step for n in sizes}
+            return [np.count_nonzero(places[n] % stride == 0) for n, stride in grid]
 
         def count(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
             for texts in batches:
-                yield pd.Series([[counters[g](t) for g in grid] for t in texts], dtype=object)
+                yield pd.Series([hits(t) for t in texts], dtype=object)
 
         rows = docs.select(F.pandas_udf(count, T.ArrayType(T.LongType())).asNondeterministic()(text).alias("hits"))
         cells = rows.select(F.posexplode("hits").alias("cell", "hits"))

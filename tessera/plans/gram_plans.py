@@ -74,12 +74,13 @@ def decon_sensitivity(spark, sf_dir):
 
 def _facts(spark, sf_dir, with_hits: bool):
     """(doc_id, lang, bytes, doc_sha256, hits, signature) of every document, from one pass over its text, as a table."""
-    count = ngrams.hit_counter(_index(spark, sf_dir), cap=None) if with_hits else None
+    count = ngrams.hit_counter(_index(spark, sf_dir)) if with_hits else None
     docs = table(spark, sf_dir, "documents")
 
     @F.pandas_udf("doc_sha256 string, hits long, signature array<long>")
     def facts(texts: pd.Series) -> pd.DataFrame:
-        rows = [(t.digest_of(x), count(x) if count else 0, dedup.signature(x, cap=None)) for x in texts]
+        forms = map(t.search_text, texts)
+        rows = [(t.digest_of(x), count(form) if count else 0, dedup.signature(x, cap=None)) for x, form in zip(texts, forms, strict=True)]
         return pd.DataFrame(rows, columns=["doc_sha256", "hits", "signature"])
 
     made = docs.select("doc_id", "lang", F.octet_length("text").cast("long").alias("bytes"), facts.asNondeterministic()(F.col("text")).alias("f"))

@@ -118,6 +118,22 @@ def test_bloom_filter_passes_all_members_and_few_others(spark):
     assert ngrams.passes(table, rng.integers(-(2**63), 2**63, 20_000, dtype=np.int64)).mean() < 0.02
 
 
+def test_sensitivity_looks_a_size_up_once_for_all_strides(spark, monkeypatch):
+    bench = "the quick brown fox jumps over the lazy dog and runs away from it all, far and wide"
+    docs = [(1, "x" * 5 + bench), (2, "nothing of it"), (3, None), (4, bench[:64]), (5, bench[3:40] * 2)]
+    df, items = spark.createDataFrame(docs, "i long, s string"), spark.createDataFrame([(bench,)], "b string")
+    labels, stored = [], ngrams.stored
+    monkeypatch.setattr(ngrams, "stored", lambda rows, label: labels.append(label) or stored(rows, label))
+    sizes, strides, most = (16, 32, 64), (1, 6, 4), (1, 2, 5)
+    got = {(r.gram, r.stride): tuple(r)[2:] for r in ngrams.sensitivity(df, items, "i", F.col("s"), F.col("b"), sizes, strides, most).collect()}
+    for n in sizes:
+        grams = {bench[k : k + n] for k in range(len(bench) - n + 1)}
+        for stride in strides:
+            hits = [sum((s or "")[k : k + n] in grams for k in range(0, len(s or "") - n + 1, stride)) for _, s in docs]
+            assert got[n, stride] == (len(docs), *[sum(h >= k for h in hits) for k in most])
+    assert labels == ["grams"] * len(sizes)
+
+
 def test_window_hashes_match_their_definition():
     text, n = "añb😀" * 40, 64
     want = [sum(ord(c) * pow(dedup.BASE, j, dedup.PRIME) for j, c in enumerate(text[i : i + n])) % dedup.PRIME for i in range(0, len(text) - n + 1, 3)]
