@@ -21,6 +21,16 @@ def shared_path(spark: SparkSession, label: str) -> str:
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Lowers the rows of an Arrow batch, where it has Spark's default of 10,000: a row is a whole text, and a worker holds a batch
+    several times, as Arrow, as strings and as what is made of them."""
+    if spark.conf.get(ARROW_ROWS) == "10000":
+        spark.conf.set(ARROW_ROWS, str(rows))
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """df written once and read again: what follows neither computes it anew nor loses it with an executor."""
     path = shared_path(df.sparkSession, label)

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera.sources.shared import small_batches
+
 
 class MissingColumn(ValueError):
     """A column that a scan cannot do without is not in its table."""
@@ -21,6 +23,7 @@ def scan(spark: SparkSession, path, columns: list[str] | None = None, required:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return scan(spark, f"{sf_dir}/{name}.parquet")
 
 

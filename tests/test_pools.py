@@ -127,6 +127,19 @@ def test_verification_finds_what_is_off(spark):
     assert {tuple(r) for r in audit.recount(sample, "g", "recorded", tk.token_counts(F.col("s"), "words")).collect()} == {("a", 2, 1), ("b", 1, 1)}
 
 
+def test_workers_hold_few_texts_at_a_time(spark, sf):
+    before = spark.conf.get(shared.ARROW_ROWS)
+    try:
+        spark.conf.set(shared.ARROW_ROWS, "10000")
+        tables.table(spark, sf, "documents")
+        assert spark.conf.get(shared.ARROW_ROWS) == "1000"
+        spark.conf.set(shared.ARROW_ROWS, "250")
+        tables.table(spark, sf, "documents")
+        assert spark.conf.get(shared.ARROW_ROWS) == "250"
+    finally:
+        spark.conf.set(shared.ARROW_ROWS, before)
+
+
 def test_a_cluster_needs_a_shared_folder(spark):
     class Context:
         master = "spark://host:7077"
