@@ -33,31 +33,75 @@ def exact_survivors(docs: DataFrame, key: str, order: str) -> DataFrame:
     return docs.groupBy(F.col(key).alias("_k")).agg(F.min_by(row, order).alias("_row")).select(*[F.col(f"_row.{c}").alias(c) for c in docs.columns])
 
 
+_U = np.uint64
+#: How far a permuted hash over PRIME, in double precision, can be off (31 bits before the point leave 22 behind it).
+_OFF = 2.0**-20
+
+
 @lru_cache(maxsize=8)
 def _powers(base: int, size: int) -> np.ndarray:
     """The first size (a power of two) powers of base modulo PRIME."""
     out = np.ones(1, np.int64)
     while len(out) < size:
         out = np.concatenate([out, out * pow(base, len(out), PRIME) % PRIME])
-    return out
+    return out.astype(_U)
+
+
+def _reduced(x: np.ndarray) -> np.ndarray:
+    """x modulo PRIME, for unsigned x below PRIME ** 2; x is overwritten."""
+    folded = x >> _U(31)
+    x &= _U(PRIME)
+    x += folded
+    np.subtract(x, _U(PRIME), out=folded)  # wraps round where x is below
+    return np.minimum(x, folded, out=x)
 
 
 def window_hashes(text: str, n: int, stride: int) -> np.ndarray:
     """31-bit hashes of all windows of n code points at multiples of stride."""
-    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    if len(points) < n:
+        return np.zeros(0, np.int64)
     size = 1 << max(10, len(points).bit_length())
-    sums = np.concatenate([[0], np.cumsum(points * _powers(BASE, size)[: len(points)] % PRIME)])
-    at = np.arange(0, len(points) - n + 1, stride)
-    return (sums[at + n] - sums[at]) % PRIME * _powers(pow(BASE, -1, PRIME), size)[at] % PRIME
+    sums = np.zeros(len(points) + 1, _U)
+    np.cumsum(_reduced(points * _powers(BASE, size)[: len(points)]), out=sums[1:])
+    at = slice(0, len(points) - n + 1, stride)
+    out = _reduced(sums[n:][at] - sums[:-n][at])
+    out *= _powers(pow(BASE, -1, PRIME), size)[at]
+    return _reduced(out).view(np.int64)
+
+
+def minima(h: np.ndarray) -> np.ndarray:
+    """The least (a * h + b) mod PRIME of each permutation over hashes below PRIME, one at least.
+
+    Fractions in double precision, raised so that none falls below 0, tell which hash is least, or which few can be where they
+    are too close; those are taken exactly, and all of them where the least fraction is one of nearly 1 that went round.
+    """
+    values, out = h.astype(np.float64), []
+    x, whole = np.empty_like(values), np.empty_like(values)
+    for a, b in zip(A, B, strict=True):
+        np.multiply(values, a / PRIME, out=x)
+        x += b / PRIME + _OFF
+        np.floor(x, out=whole)
+        x -= whole
+        at = int(x.argmin())
+        least, x[at] = float(x[at]), 2.0
+        best = (a * int(h[at]) + b) % PRIME
+        if x[x.argmin()] <= least + 2 * _OFF:
+            best = min(best, int(((h[x <= least + 4 * _OFF] * a + b) % PRIME).min(initial=best)))
+        if best > (least + 2 * _OFF) * PRIME:
+            best = int(((h * a + b) % PRIME).min())
+        out.append(best)
+    return np.array(out)
+
+
+def signature_of(form: str, n: int = N, stride: int = STRIDE) -> list[int] | None:
+    """signature() of a text that is in search form."""
+    return None if len(form) < n else minima(window_hashes(form, n, stride)).tolist()
 
 
 def signature(text: str | None, n: int = N, stride: int = STRIDE, cap: int | None = CAP_CHARS) -> list[int] | None:
     """32 minima of permuted window hashes of a raw text in search form; null for a text without a window."""
-    form = search_text(text[:cap] if text and cap else text) or ""
-    if len(form) < n:
-        return None
-    h = window_hashes(form, n, stride)
-    return [int(((h * a + b) % PRIME).min()) for a, b in zip(A, B, strict=True)]
+    return signature_of(search_text(text[:cap] if text and cap else text) or "", n, stride)
 
 
 def signatures(text: Column, n: int = N, stride: int = STRIDE, cap: int | None = CAP_CHARS) -> Column:

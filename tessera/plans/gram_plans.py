@@ -80,7 +80,7 @@ def _facts(spark, sf_dir, with_hits: bool):
     @F.pandas_udf("doc_sha256 string, hits long, signature array<long>")
     def facts(texts: pd.Series) -> pd.DataFrame:
         forms = map(t.search_text, texts)
-        rows = [(t.digest_of(x), count(form) if count else 0, dedup.signature(x, cap=None)) for x, form in zip(texts, forms, strict=True)]
+        rows = [(t.digest_of(x), count(form) if count else 0, dedup.signature_of(form or "")) for x, form in zip(texts, forms, strict=True)]
         return pd.DataFrame(rows, columns=["doc_sha256", "hits", "signature"])
 
     made = docs.select("doc_id", "lang", F.octet_length("text").cast("long").alias("bytes"), facts.asNondeterministic()(F.col("text")).alias("f"))

@@ -134,6 +134,14 @@ def test_sensitivity_looks_a_size_up_once_for_all_strides(spark, monkeypatch):
     assert labels == ["grams"] * len(sizes)
 
 
+def test_minima_are_those_of_all_values():
+    rng = np.random.default_rng(3)
+    some = rng.integers(0, dedup.PRIME, 30_011)
+    worst = [(dedup.PRIME - b) * pow(a, -1, dedup.PRIME) % dedup.PRIME for a, b in zip(dedup.A, dedup.B, strict=True)]
+    for h in (some, some[:1], some[:512], some[:4_097], np.sort(some)[:900], np.repeat(some[:1], 700), np.arange(5_000), np.array([*worst, *some[:2_000], dedup.PRIME - 1])):
+        assert dedup.minima(h.astype(np.int64)).tolist() == [int(((h * a + b) % dedup.PRIME).min()) for a, b in zip(dedup.A, dedup.B, strict=True)]
+
+
 def test_window_hashes_match_their_definition():
     text, n = "añb😀" * 40, 64
     want = [sum(ord(c) * pow(dedup.BASE, j, dedup.PRIME) for j, c in enumerate(text[i : i + n])) % dedup.PRIME for i in range(0, len(text) - n + 1, 3)]
